@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -256,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled_row
 
 def scorer(model: CoTrained):
     """Pandas UDF (text, source, lang, n_chars) -> struct(text_score, meta_score, score), rounded to 6 places."""
-    import pandas as pd
+
 
     @F.pandas_udf(ddl(_SCORED))
     def score(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
