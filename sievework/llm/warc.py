@@ -129,7 +129,10 @@ def write_archives(pages: DataFrame, min_revisit: int = 1000, archive_bytes: int
         F.when(revisit, F.col("leader")).alias("refers_to"),
         F.when(revisit, F.lit("")).otherwise(F.col("html")).alias("html"),
     )
-    picked = full.select("page_id", "url", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_rows)
+    # only ids are sorted; the pages that they name are then read
+    chosen = pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_rows)
+    chosen = F.broadcast(chosen.select(F.col("page_id").alias("c_id")).distinct())  # sample_rows ids at most
+    picked = full.join(chosen, full.page_id == F.col("c_id"), "left_semi")
     samples, room = [], sample_bytes
     for r in picked.select("page_id", "url", F.substring("html", 1, sample_bytes // 64).alias("html")).toLocalIterator():
         body = r.html.encode()
