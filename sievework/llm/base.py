@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -35,6 +36,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/sievework/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _STAGED.append(path)
+    gc.collect()
+    spark._jvm.System.gc()  # Spark deletes the shuffle files of finished queries once the driver's garbage is collected
     return spark.read.schema(df.schema).parquet(path)
 
 
