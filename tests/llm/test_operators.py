@@ -357,6 +357,30 @@ def test_search_matches_brute_force(spark):
         assert got[q] == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:4], q
 
 
+def test_topk_query_uses_every_term_of_its_text(spark, tmp_path):
+    from collections import Counter
+    from math import log
+
+    from sievework.llm import queries
+
+    rows = list(enumerate(texts(120))) + [(500, None), (550, ""), (200, "solo words here"), (600, "solo solo words")]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = defaultdict(list)
+    for r in queries.op1_topk_search(spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.doc_id, r.score))
+    bags = {i: Counter(search.terms_of(t or "")) for i, t in rows}
+    df = Counter(w for b in bags.values() for w in b)
+    n, average = len(bags), sum(sum(b.values()) for b in bags.values()) / len(bags)
+    for q in (i for i in bags if i % 50 == 0):
+        score = {}
+        for i, b in bags.items():
+            s = sum(log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * float(search.impact(np.array([b[w]]), np.array([sum(b.values())]), average)[0]) for w in sorted(bags[q]) if b[w])
+            if s:
+                score[i] = round(s, 6)
+        assert got[q] == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:10], q
+    assert max(len(bags[q]) for q in (0, 50, 100)) > 32 and min(len(bags[q]) for q in (0, 50, 100, 200)) < 12
+
+
 def test_block_max_wand_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(60):
