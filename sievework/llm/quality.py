@@ -1,4 +1,4 @@
-"""Quality classifier by co-training: a text view and a metadata view teach each other."""
+"""Quality and toxicity classifiers by co-training: a text view and a metadata view teach each other."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .base import ddl, text_of
 
 _SHAPE = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"\w+")
+_GRAMS = 1 << 18  # buckets of words and word pairs
 _DENSE = 10
 _META = 256
 
@@ -46,11 +48,42 @@ def word_bucket(word: str, buckets: int) -> int:
     return zlib.crc32(_SHAPE.sub("a", word).encode()) % buckets
 
 
+class Hashes(dict):
+    """Hash of a word, kept while it is small."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def gram_buckets(text: str, known: Hashes) -> np.ndarray:
+    """Buckets of a text's lower-cased words and of its pairs of neighbouring words."""
+    words = _WORD.findall(text.lower())
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (np.concatenate([h * np.uint64(0x9E3779B97F4A7C15), pairs]) >> np.uint64(46)).astype(np.int64)
+
+
+def telling_grams(found: list[np.ndarray], y: np.ndarray, least: float = 6.0, most: int = 1024) -> np.ndarray:
+    """Buckets that stand in the texts of one label more often than chance allows: a difference of shares of
+    `least` standard errors or more, the `most` largest of them."""
+    n = [max(int((y == k).sum()), 1) for k in (0, 1)]
+    have = [np.bincount(np.concatenate([np.zeros(0, np.int64), *(f for f, k in zip(found, y, strict=True) if k == c)]), minlength=_GRAMS) for c in (0, 1)]
+    share = (have[0] + have[1] + 1) / (n[0] + n[1] + 2)
+    z = np.abs(have[1] / n[1] - have[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
+    best = np.argsort(-z, kind="stable")[:most]
+    return np.sort(best[z[best] >= least])
+
+
 class TextView:
-    """Features of a text: hashed word shapes (mean counts) and ratios of characters, words and lines."""
+    """Features of a text: hashed word shapes (mean counts), telling words and word pairs (there or not), and ratios
+    of characters, words and lines."""
 
-    def __init__(self, buckets: int = 4096):
-        self.buckets, self.known = buckets, {}
+    def __init__(self, buckets: int = 4096, grams: np.ndarray | None = None):
+        self.buckets, self.known, self.hashes = buckets, {}, Hashes()
+        self.grams = np.zeros(0, np.int64) if grams is None else grams
 
     def bucket(self, word: str) -> int:
         b = self.known.get(word)
@@ -73,11 +106,12 @@ class TextView:
         return ids, counts / max(len(words), 1), self.dense(text, words)
 
     def matrix(self, texts: list[str]) -> np.ndarray:
-        x = np.zeros((len(texts), self.buckets + _DENSE), np.float32)
+        x = np.zeros((len(texts), self.buckets + _DENSE + len(self.grams)), np.float32)
         for i, t in enumerate(texts):
+            x[i, self.buckets + _DENSE :] = np.isin(self.grams, gram_buckets(t, self.hashes))
             ids, share, dense = self.features(t)
             x[i, ids] = share
-            x[i, self.buckets :] = dense
+            x[i, self.buckets : self.buckets + _DENSE] = dense
         return x
 
 
@@ -123,7 +157,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
         weight = np.where(y == k, weight * (0.5 / total if total else 0), weight)
     w, b = np.zeros(x.shape[1]), 0.0
     vw, vb = w.copy(), b
-    rate = 4 / (1 + float((weight[:, None] * z**2).sum(0).max()) * 8)
+    top, v = 0.0, np.ones(len(y))
+    for _ in range(30):  # the largest eigenvalue of the weighted inner products bounds the curvature
+        v = np.sqrt(weight) * v
+        v = np.sqrt(weight) * (z @ (v @ z) + v.sum())
+        top = float(np.linalg.norm(v))
+        v /= top or 1.0
+    rate = 4 / (top * 1.1 + 4 * ridge + 1e-9)
     for t in range(steps):
         g = weight * (_sigmoid(z @ vw + vb) - y)
         nw, nb = vw - rate * (g @ z + ridge * vw), vb - rate * g.sum()
@@ -160,6 +200,7 @@ class CoTrained:
     meta: Logistic
     mix: np.ndarray
     buckets: int
+    grams: np.ndarray
     rounds: list[tuple[int, int]]  # pseudo-labels that the text and the metadata view gave, by round
 
     def score(self, text_logit: np.ndarray, meta_logit: np.ndarray) -> np.ndarray:
@@ -178,10 +219,11 @@ def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per
     if len(set(y.tolist())) < 2:
         level = 0.0 if len(y) and y[0] == 0 else 1.0
         empty = lambda n: Logistic(np.zeros(n), 0.0)
-        return CoTrained(empty(buckets + _DENSE), empty(_META + 2), np.array([20.0 * (2 * level - 1), 0, 0]), buckets, [])
+        return CoTrained(empty(buckets + _DENSE), empty(_META + 2), np.array([20.0 * (2 * level - 1), 0, 0]), buckets, view.grams, [])
     held = np.arange(len(y)) % 5 == 4
     if min(len(set(y[held].tolist())), len(set(y[~held].tolist()))) < 2:
         held = np.zeros(len(y), bool)
+    view.grams = telling_grams([np.unique(gram_buckets(r[0], view.hashes)) for r, h in zip(labelled, held, strict=True) if not h], y[~held])
     xt, xm = view.matrix([r[0] for r in labelled]), np.array([meta_row(*r[1:4]) for r in labelled])
     ut = view.matrix([r[0] for r in unlabelled])
     um = np.array([meta_row(*r[1:4]) for r in unlabelled]) if unlabelled else np.zeros((0, _META + 2), np.float32)
@@ -213,18 +255,27 @@ def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per
     _calibrate(meta, xm[on], y[on])
     views = np.column_stack([text.logit(xt[on]), meta.logit(xm[on])]).astype(np.float64)
     mix = _mix(views, y[on])
-    return CoTrained(text, meta, mix, buckets, tally)
+    return CoTrained(text, meta, mix, buckets, view.grams, tally)
 
 
 def _mix(views: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic weights of the two calibrated logits, near (0, 1, 0) by a ridge, never negative."""
-    x, w = np.column_stack([np.ones(len(y)), views]), np.array([0.0, 1.0, 0.0])
-    prior = w.copy()
+    x, prior = np.column_stack([np.ones(len(y)), views]), np.array([0.0, 1.0, 0.0])
+    loss = lambda w: np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ w)).sum() + 0.5 * ((w - prior) ** 2).sum()
+    w = prior
     for _ in range(25):
         p = _sigmoid(x @ w)
         h = p * (1 - p) + 1e-6
-        w = w - np.linalg.solve(x.T @ (x * h[:, None]) + np.eye(3), x.T @ (p - y) + (w - prior))
-        w[1:] = np.maximum(w[1:], 0)
+        step, pace = np.linalg.solve(x.T @ (x * h[:, None]) + np.eye(3), x.T @ (p - y) + (w - prior)), 1.0
+        while pace > 1e-6:  # a whole step may overshoot: take half of it until the loss falls
+            to = w - pace * step
+            to[1:] = np.maximum(to[1:], 0)
+            if loss(to) < loss(w):
+                w = to
+                break
+            pace /= 2
+        else:
+            break
     return w
 
 
@@ -247,7 +298,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, labelled_rows:
     return [r for r in ordered if r[4] >= 0], [r for r in ordered if r[4] < 0]
 
 
-_SCORED = pa.schema([("text_score", pa.float64()), ("meta_score", pa.float64()), ("score", pa.float64())])
+_SCORED = pa.schema([("text_score", pa.float64()), ("meta_score", pa.float64()), ("score", pa.float64()), ("toxic_score", pa.float64())])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled_rows: int = 1500, unlabelled_rows: int = 1500) -> CoTrained:
@@ -255,40 +306,59 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled_row
     return cotrain(*training_rows(docs, labels, label, labelled_rows, unlabelled_rows))
 
 
-def scorer(model: CoTrained):
-    """Pandas UDF (text, source, lang, n_chars) -> struct(text_score, meta_score, score), rounded to 6 places."""
+def fit_both(docs: DataFrame, labels: DataFrame, label: str = "quality", toxic: str = "toxic") -> tuple[CoTrained, CoTrained]:
+    """The models of a good document and of one that isn't toxic; labels without such a column reject none as toxic."""
+    if toxic in labels.columns:
+        clean = labels.select("doc_id", (1 - F.col(toxic)).alias("clean"))
+    else:
+        clean = labels.limit(0).select("doc_id", F.lit(1).alias("clean"))
+    return fit(docs, labels, label), fit(docs, clean, "clean")
+
 
+def scorer(model: CoTrained, clean: CoTrained):
+    """Pandas UDF (text, source, lang, n_chars) -> struct(text_score, meta_score, score, toxic_score), rounded to 6
+    places. The first three are of the good, the last is one less the score of those that aren't toxic."""
 
     @F.pandas_udf(ddl(_SCORED))
     def score(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
-        view, w, meta = TextView(model.buckets), model.text.w, {}
-        weights = w[: model.buckets]
+        view, both = TextView(model.buckets), (model, clean)
+        ends = model.buckets + _DENSE
+        shape, rest = (np.column_stack([m.text.w[lo:hi] for m in both]) for lo, hi in ((0, model.buckets), (model.buckets, ends)))
+        gram, told = np.zeros((_GRAMS, 2)), np.zeros(_GRAMS, bool)
+        for j, m in enumerate(both):
+            gram[m.grams, j] = m.text.w[ends:]
+            told[m.grams] = True
 
         class Weights(dict):
-            def __missing__(self, word: str) -> float:
+            def __missing__(self, word: str) -> complex:
                 if len(self) > 200_000:
                     self.clear()
-                self[word] = v = float(weights[word_bucket(word, model.buckets)])
+                self[word] = v = complex(*shape[word_bucket(word, model.buckets)])
                 return v
 
         global _WEIGHTS
-        key = zlib.crc32(w.tobytes())
+        key = zlib.crc32(shape.tobytes())
         if _WEIGHTS is None or _WEIGHTS[0] != key:
-            _WEIGHTS = (key, Weights())
-        known = _WEIGHTS[1]
-        text_raw, meta_raw = np.zeros(len(text)), np.zeros(len(text))
+            _WEIGHTS = (key, Weights(), Hashes())
+        known, hashes = _WEIGHTS[1:]
+        meta: dict[tuple, tuple[float, float]] = {}
+        text_raw, meta_raw = np.zeros((len(text), 2)), np.zeros((len(text), 2))
+        start = np.array([m.text.b for m in both])
         for i, t in enumerate(text):
             words = t.split()
-            dense = view.dense(t, words)
-            text_raw[i] = math.fsum(map(known.__getitem__, words)) / max(len(words), 1) + float(np.dot(w[model.buckets :], dense)) + model.text.b
+            at = gram_buckets(t, hashes)
+            shapes = sum(map(known.__getitem__, words), 0j) / max(len(words), 1)  # both models' sums in one number
+            text_raw[i] = np.array([shapes.real, shapes.imag]) + gram[np.unique(at[told[at]])].sum(0) + np.array(view.dense(t, words)) @ rest + start
         for i, (s, g, n) in enumerate(zip(source, lang, n_chars, strict=True)):
             n = None if n is None or n != n else int(n)
             k = (s, g, n)
             if k not in meta:
-                meta[k] = float(model.meta.raw(meta_row(*k)))
+                row = meta_row(*k)
+                meta[k] = tuple(float(m.meta.raw(row)) for m in both)
             meta_raw[i] = meta[k]
-        a, b = model.text.slope * text_raw + model.text.shift, model.meta.slope * meta_raw + model.meta.shift
-        return pd.DataFrame({"text_score": np.round(_sigmoid(a), 6), "meta_score": np.round(_sigmoid(b), 6), "score": np.round(model.score(a, b), 6)})
+        (a, b), (c, d) = ((m.text.slope * text_raw[:, j] + m.text.shift, m.meta.slope * meta_raw[:, j] + m.meta.shift) for j, m in enumerate(both))
+        cols = _sigmoid(a), _sigmoid(b), model.score(a, b), 1 - clean.score(c, d)
+        return pd.DataFrame({f.name: np.round(x, 6) for f, x in zip(_SCORED, cols, strict=True)})
 
     return score
 
@@ -296,24 +366,29 @@ def scorer(model: CoTrained):
 _WEIGHTS = None
 
 
-def with_scores(docs: DataFrame, model: CoTrained) -> DataFrame:
+def with_scores(docs: DataFrame, model: CoTrained, clean: CoTrained) -> DataFrame:
     """docs with a struct column quality_view; null text is empty, null source, language or length a value of its own."""
-    return docs.withColumn("quality_view", scorer(model)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
+    return docs.withColumn("quality_view", scorer(model, clean)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
+
+
+def _accepted(view: str, accept: float):
+    """Good enough, and as surely not toxic."""
+    return (F.col(f"{view}.score") >= accept) & (F.col(f"{view}.toxic_score") <= 1 - accept)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, accept: float = 0.5, label: str = "quality") -> DataFrame:
-    """(doc_id, text_score, meta_score, score, accepted) of every document.
+    """(doc_id, text_score, meta_score, score, toxic_score, accepted) of every document.
 
     Repeated doc_ids: a row each. No documents: none. No labels: all accepted. Labels for ids that
     aren't in docs are ignored.
     """
     slim = docs.select("doc_id", "text", "source", "lang", "n_chars")
-    scored = with_scores(slim, fit(slim, labels, label))
-    return scored.select("doc_id", "quality_view.*", (F.col("quality_view.score") >= accept).alias("accepted"))
+    scored = with_scores(slim, *fit_both(slim, labels, label))
+    return scored.select("doc_id", "quality_view.*", _accepted("quality_view", accept).alias("accepted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, accept: float = 0.5, label: str = "quality") -> DataFrame:
     """The documents that the classifier accepts, in their own columns."""
-    model = fit(docs.select("doc_id", "text", "source", "lang", "n_chars"), labels, label)
-    marked = docs.withColumn("__score", scorer(model)(text_of(), "source", "lang", F.col("n_chars").cast("double"))["score"])
-    return marked.where(F.col("__score") >= accept).drop("__score")
+    models = fit_both(docs.select("doc_id", "text", "source", "lang", "n_chars"), labels, label)
+    marked = docs.withColumn("__score", scorer(*models)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
+    return marked.where(_accepted("__score", accept)).drop("__score")

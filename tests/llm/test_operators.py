@@ -261,6 +261,25 @@ def test_quality_learns_and_accepts_without_labels(spark):
     assert all(r.accepted for r in quality.score_documents(docs_of(spark, ODD), labels.limit(0)).collect())
 
 
+def test_quality_rejects_toxic_words_of_clean_shape(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        w = [rng.choice(WORDS) for _ in range(40)]
+        if i % 4 == 0:
+            w[rng.randrange(40)] = rng.choice(["idiot", "scum", "trash"])
+        if i % 8 == 3:
+            w = [x + "%%%" for x in w]
+        rows.append((i, " ".join(w) + "."))
+    labels = spark.createDataFrame([(i, int(i % 8 != 3), int(i % 4 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality.score_documents(docs_of(spark, rows), labels).collect()}
+    held = range(300, 400)
+    assert sum(out[i].accepted == (i % 4 != 0 and i % 8 != 3) for i in held) >= 95
+    assert sum(not out[i].accepted for i in held if i % 4 == 0) >= 23
+    kept = {r.doc_id for r in quality.keep_good(docs_of(spark, rows), labels).collect()}
+    assert kept == {i for i in out if out[i].accepted}
+
+
 def test_line_dedup(spark):
     a = "The quick brown fox jumps over the lazy dog near the old river bank every single day of the year"
     near = a.replace("lazy", "lazi")
