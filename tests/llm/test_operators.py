@@ -66,6 +66,16 @@ def test_near_copies_match_brute_force(spark):
     assert kept == {i for i in sets if top(i) == i}
 
 
+def test_pipeline_drops_a_copy_with_one_word_in_fifty_changed(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(50)]
+    changed, two = [*words[:25], "other", *words[26:]], [*words[:15], "other", *words[16:35], "more", *words[36:]]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(two)), (4, " ".join(f"v{i}" for i in range(50)))]
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs_of(spark, rows), "").collect()}
+    assert kept == {1, 3, 4}  # 5-word Jaccard with 1: 41 / 51 and 36 / 56; 3-word: 45 / 51, below 0.9
+
+
 def test_rtree_bound_loses_nothing():
     rng = np.random.default_rng(5)
     base_set = rng.integers(0, 1 << 62, 200, np.int64).astype(np.uint64)
