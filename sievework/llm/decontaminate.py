@@ -39,91 +39,100 @@ def template(flat_text: Column) -> Column:
     return F.lower(F.regexp_replace(t, _HEAD, "$1"))
 
 
-def _windows(hashes: str, width: int) -> Column:
-    """One hash for each window of `width` template words."""
-    parts = ", ".join(f"{hashes}[i + {k}]" if k else f"{hashes}[i]" for k in range(width))
-    return F.expr(f"CASE WHEN size({hashes}) >= {width} THEN transform(sequence(0, size({hashes}) - {width}), i -> xxhash64({width}, {parts})) END")
+def plain(flat_text: Column) -> Column:
+    """The words of a folded text as they are, but for case and punctuation at word ends."""
+    return F.lower(F.regexp_replace(F.regexp_replace(flat_text, _EDGE, "$1"), _HEAD, "$1"))
 
 
-def _hashed(df: DataFrame, keep: list[str]) -> DataFrame:
-    return df.select(*keep, F.transform(F.split(template(flat(text_of())), " "), lambda w: F.xxhash64(w)).alias("h"))
+def _windows(words: str, width: int, exact: bool) -> Column:
+    """One hash for each window of `width` words; exact ones differ from those of templates."""
+    parts = ", ".join(f"{words}[i + {k}]" if k else f"{words}[i]" for k in range(width))
+    tag = -width if exact else width
+    return F.expr(f"CASE WHEN size({words}) >= {width} THEN transform(sequence(0, size({words}) - {width}), i -> xxhash64({tag}, {parts})) END")
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = 8, shortest: int = 5, literal: int = 3) -> DataFrame:
-    """(item_id, ipos, width, key, n_windows, n_slots) of the items: windows of `width` words, of the whole
-    item where it is shorter. Windows of fewer than `literal` words besides placeholders say nothing and
-    make no key; items under `shortest` words have none."""
-    items = benchmark.where("item_id is not null").select("item_id", F.split(template(flat(text_of())), " ").alias("t"))
-    items = items.withColumn("n", F.size("t")).where(F.col("n") >= shortest).withColumn("width", F.least(F.col("n"), F.lit(width)))
-    items = items.withColumn("h", F.transform("t", lambda w: F.xxhash64(w)))
+    """(item_id, ipos, width, exact, key, n_windows, n_slots) of the items: template windows of `width` words, of the
+    whole item where it is shorter. Windows of fewer than `literal` words besides placeholders say nothing and make no
+    key. Items of under `shortest` words, and those of which no template window says anything, are looked for word
+    for word instead."""
+    words = lambda kind: F.split(kind(flat(text_of())), " ")
+    items = benchmark.where("item_id is not null").select("item_id", words(template).alias("t"), words(plain).alias("r")).where("array_join(r, '') <> ''")
+    items = items.withColumn("n", F.size("t")).withColumn("width", F.least(F.col("n"), F.lit(width)))
     slot = F.expr(f"transform(t, w -> CASE WHEN w rlike '[{NAME}{NUMBER}{UNIT}]' THEN 1 ELSE 0 END)")
     items = items.withColumn("slot", slot).withColumn("n_slots", F.expr("cast(aggregate(slot, 0, (a, x) -> a + x) as long)"))
-    out = None
-    for k in range(shortest, width + 1):
-        part = items.where(F.col("width") == k).select("item_id", "n_slots", "slot", F.lit(k).alias("width"), F.posexplode(_windows("h", k)).alias("ipos", "key"))
-        out = part if out is None else out.unionByName(part)
+    hashed = items.withColumn("h", F.transform("t", lambda w: F.xxhash64(w)))
     open_words = F.expr("width - aggregate(slice(slot, ipos + 1, width), 0, (a, x) -> a + x)")
-    out = out.where(open_words >= literal).drop("slot")
+    made = [hashed.where((F.col("width") == k) & (F.col("n") >= shortest)).select("item_id", "n_slots", "slot", F.lit(k).alias("width"), F.posexplode(_windows("h", k, False)).alias("ipos", "key")) for k in range(min(shortest, width), width + 1)]
+    typed = made[0]
+    for part in made[1:]:
+        typed = typed.unionByName(part)
+    typed = typed.where(open_words >= literal).select("item_id", "ipos", "width", F.lit(False).alias("exact"), "key", "n_slots")
+    rest = items.join(typed.select(F.col("item_id").alias("t_id")).distinct(), F.col("item_id") == F.col("t_id"), "left_anti")
+    rest = rest.withColumn("h", F.transform("r", lambda w: F.xxhash64(w)))
+    out = typed
+    for k in range(1, width + 1):
+        part = rest.where(F.col("width") == k).select("item_id", F.lit(k).alias("width"), F.posexplode(_windows("h", k, True)).alias("ipos", "key"))
+        out = out.unionByName(part.select("item_id", "ipos", "width", F.lit(True).alias("exact"), "key", F.lit(0).cast("long").alias("n_slots")))
     counts = out.groupBy(F.col("item_id").alias("c_item")).agg(F.count(F.lit(1)).alias("n_windows"))
     return out.join(counts, out.item_id == counts.c_item).drop("c_item")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:
-    """(doc_id, item_id, hits): items of which a document holds at least `share` of the template windows.
+    """(doc_id, item_id, hits): items of which a document holds at least `share` of the windows, each counted once
+    however often the document repeats it.
 
     Windows join by hash. What matches is grouped by document, item and offset between the two; where the
     item has slots, each of its values must stand for one value only in the document at that offset, or
     the offset does not count. Every row of docs is read whole; only hits leave the join.
     """
     keys = stage(benchmark_windows(benchmark, width), "benchmark-windows")
-    widths = [r[0] for r in keys.select("width").distinct().collect()] or [width]  # at most width - 4 values
-    hashed = _hashed(docs.where("doc_id is not null"), ["doc_id"])
-    parts = [_windows("h", k) for k in sorted(widths)]
+    sorts = sorted(tuple(r) for r in keys.select("exact", "width").distinct().collect()) or [(False, width)]  # at most 2 * width values
+    words = {exact: F.split((plain if exact else template)(flat(text_of())), " ") for exact in {e for e, _ in sorts}}
+    hashed = {exact: docs.select("doc_id", F.transform(w, lambda x: F.xxhash64(x)).alias("h")) for exact, w in words.items()}
     pieces = None
-    for k, col in zip(sorted(widths), parts, strict=True):
-        part = hashed.select("doc_id", F.posexplode(col).alias("dpos", "w_key"))
+    for exact, k in sorts:
+        part = hashed[exact].select("doc_id", F.posexplode(_windows("h", k, exact)).alias("dpos", "w_key"))
         pieces = part if pieces is None else pieces.unionByName(part)
-        del k
     hits = pieces.join(keys, pieces.w_key == keys.key).select("doc_id", "item_id", "width", "n_windows", "n_slots", "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"))
-    runs = hits.groupBy("doc_id", "item_id", "shift").agg(
-        F.countDistinct("ipos").alias("hits"), F.min("ipos").alias("lo"), F.max(F.col("ipos") + F.col("width")).alias("hi"), F.first("n_windows").alias("n_windows"), F.first("n_slots").alias("n_slots")
-    )
-    runs = stage(runs, "template-runs")
-    slotted = runs.where("n_slots > 0").select("doc_id", "item_id", "shift", "lo", "hi")
-    texts = docs.join(slotted.select(F.col("doc_id").alias("k_id")).distinct(), F.col("doc_id") == F.col("k_id"), "left_semi")
+    hits = stage(hits.groupBy("doc_id", "item_id", "shift", "ipos").agg(*[F.first(c).alias(c) for c in ("width", "n_windows", "n_slots")]), "template-hits")
+    slotted = hits.where("n_slots > 0").groupBy("doc_id", "item_id", "shift").agg(F.min("ipos").alias("lo"), F.max(F.col("ipos") + F.col("width")).alias("hi"))
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    texts = docs.select("doc_id", "text").join(slotted.select(F.col("doc_id").alias("k_id")).distinct(), same("doc_id", "k_id"), "left_semi")
     raw = lambda df, key, a, b: df.select(F.col(key).alias(a), F.split(F.lower(flat(text_of())), " ").alias(b))
-    near = slotted.join(raw(texts, "doc_id", "d_id", "dw"), F.col("doc_id") == F.col("d_id"))
+    near = slotted.join(raw(texts, "doc_id", "d_id", "dw"), same("doc_id", "d_id"))
     items = raw(benchmark, "item_id", "i_id", "iw").join(
         benchmark.select(F.col("item_id").alias("t_id"), F.split(template(flat(text_of())), " ").alias("it")), F.col("i_id") == F.col("t_id")
     )
     near = near.join(items, near.item_id == items.i_id)
     pairs = near.select("doc_id", "item_id", "shift", "it", "iw", "dw", F.explode(F.expr("sequence(lo, hi - 1)")).alias("p"))
-    pairs = pairs.where(F.expr(f"it[p] rlike '[{NAME}{NUMBER}{UNIT}]'"))
+    pairs = pairs.where(F.expr(f"get(it, p) rlike '[{NAME}{NUMBER}{UNIT}]'"))
     bare = lambda e: F.regexp_replace(F.expr(e), r'^["(]+|[.,;:!?"()]+$', "")
-    pairs = pairs.select("doc_id", "item_id", "shift", bare("iw[p]").alias("iv"), bare("dw[p + shift]").alias("dv"))
+    pairs = pairs.select("doc_id", "item_id", "shift", bare("get(iw, p)").alias("iv"), bare("get(dw, p + shift)").alias("dv"))
     wrong = pairs.groupBy("doc_id", "item_id", "shift", "iv").agg(F.countDistinct("dv").alias("n")).where("n > 1")
     wrong = wrong.select(F.col("doc_id").alias("x_id"), F.col("item_id").alias("x_item"), F.col("shift").alias("x_shift")).distinct()
-    good = runs.join(wrong, (runs.doc_id == wrong.x_id) & (runs.item_id == wrong.x_item) & (runs["shift"] == wrong.x_shift), "left_anti")
-    total = good.groupBy("doc_id", "item_id").agg(F.sum("hits").alias("hits"), F.first("n_windows").alias("n_windows"))
+    good = hits.join(wrong, hits.doc_id.eqNullSafe(wrong.x_id) & (hits.item_id == wrong.x_item) & (hits["shift"] == wrong.x_shift), "left_anti")
+    total = good.groupBy("doc_id", "item_id").agg(F.countDistinct("ipos").alias("hits"), F.max("n_windows").alias("n_windows"))
     return total.where(F.col("hits") >= share * F.col("n_windows")).select("doc_id", "item_id", "hits")
 
 
 def flag_documents(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:
     """(doc_id, contaminated, n_items, first_item) of every document.
 
-    Null or empty text, null doc_id: not contaminated. Rows that repeat a doc_id share their verdict. Null
-    or short items (under five words): never found. No rows on either side: none, or all clean.
+    Null or empty text: not contaminated. Rows that repeat a doc_id share their verdict, as do those without one.
+    Items under five words are found word for word; null or empty items and those without an id never. No rows on
+    either side: none, or all clean. Columns besides doc_id and text may have any name.
     """
     found = matches(docs, benchmark, width, share).groupBy(F.col("doc_id").alias("f_id")).agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("item"))
     every = docs.select("doc_id")
-    out = every.join(found, every.doc_id == found.f_id, "left")
+    out = every.join(found, every.doc_id.eqNullSafe(found.f_id), "left")
     return out.select("doc_id", F.col("n").isNotNull().alias("contaminated"), F.coalesce("n", F.lit(0)).cast("long").alias("n_items"), F.col("item").cast("long").alias("first_item"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:
     """docs without the contaminated ones; columns stay."""
     found = stage(matches(docs.select("doc_id", "text"), benchmark, width, share).select(F.col("doc_id").alias("f_id")).distinct(), "contaminated")
-    return docs.join(found, docs.doc_id == found.f_id, "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["f_id"]), "left_anti")
 
 
 def _sql_template(text: str) -> str:
@@ -137,42 +146,55 @@ def _sql_template(text: str) -> str:
     return f"string_split(lower({sub(t, _HEAD, r'\1')}), ' ')"
 
 
+def _sql_plain(text: str) -> str:
+    t = f"trim(regexp_replace({text}, '{SPACE}', ' ', 'g'), ' ')"
+    return f"string_split(lower(regexp_replace(regexp_replace({t}, '{_EDGE}', '\\1', 'g'), '{_HEAD}', '\\1', 'g')), ' ')"
+
+
+_RAW = f"string_split(lower(trim(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g'), ' ')), ' ')"
+_SLOT = f"'[{NAME}{NUMBER}{UNIT}]'"
+
 #: The same verdicts by comparing windows as strings.
 ORACLE = f"""
 WITH it AS (
-  SELECT item_id, {_sql_template("coalesce(text, '')")} AS t,
-         string_split(lower(trim(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g'), ' ')), ' ') AS raw
+  SELECT item_id, {_sql_template("coalesce(text, '')")} AS t, {_sql_plain("coalesce(text, '')")} AS r, {_RAW} AS raw
   FROM benchmark WHERE item_id IS NOT NULL),
 iw0 AS (
-  SELECT item_id, least(len(t), 8) AS w, unnest(range(0, len(t) - least(len(t), 8) + 1)) AS ipos, t, raw,
-         len(list_filter(t, lambda x: regexp_matches(x, '[{NAME}{NUMBER}{UNIT}]'))) AS n_slots
-  FROM it WHERE len(t) >= 5),
+  SELECT item_id, least(len(t), 8) AS w, unnest(range(0, len(t) - least(len(t), 8) + 1)) AS ipos, t,
+         len(list_filter(t, lambda x: regexp_matches(x, {_SLOT}))) AS n_slots
+  FROM it WHERE len(t) >= 5 AND array_to_string(r, '') <> ''),
+iw1 AS (
+  SELECT item_id, w, ipos, n_slots, 't ' || array_to_string(list_slice(t, ipos + 1, ipos + w), ' ') AS k
+  FROM iw0 WHERE len(list_filter(list_slice(t, ipos + 1, ipos + w), lambda x: NOT regexp_matches(x, {_SLOT}))) >= 3),
+iw2 AS (
+  SELECT item_id, least(len(r), 8) AS w, unnest(range(0, len(r) - least(len(r), 8) + 1)) AS ipos, r
+  FROM it WHERE array_to_string(r, '') <> '' AND item_id NOT IN (SELECT item_id FROM iw1)),
 iw AS (
-  SELECT item_id, w, ipos, n_slots, array_to_string(list_slice(t, ipos + 1, ipos + w), ' ') AS k
-  FROM iw0 WHERE len(list_filter(list_slice(t, ipos + 1, ipos + w), lambda x: NOT regexp_matches(x, '[{NAME}{NUMBER}{UNIT}]'))) >= 3),
+  SELECT * FROM iw1 UNION ALL
+  SELECT item_id, w, ipos, 0, 'r ' || array_to_string(list_slice(r, ipos + 1, ipos + w), ' ') FROM iw2),
 nw AS (SELECT item_id, count(*) AS n_windows FROM iw GROUP BY 1),
 dt AS (
-  SELECT doc_id, {_sql_template("coalesce(text, '')")} AS t,
-         string_split(lower(trim(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g'), ' ')), ' ') AS raw
-  FROM documents WHERE doc_id IS NOT NULL),
+  SELECT doc_id, {_sql_template("coalesce(text, '')")} AS t, {_sql_plain("coalesce(text, '')")} AS r, {_RAW} AS raw FROM documents),
+ws AS (SELECT DISTINCT w, k[1] AS kind FROM iw),
 dw AS (
-  SELECT doc_id, s.w, unnest(range(0, len(t) - s.w + 1)) AS dpos, t FROM dt, (SELECT DISTINCT w FROM iw) s WHERE len(t) >= s.w),
+  SELECT doc_id, ws.w, kind, unnest(range(0, len(t) - ws.w + 1)) AS dpos, CASE kind WHEN 't' THEN t ELSE r END AS x FROM dt, ws WHERE len(t) >= ws.w),
 hit AS (
   SELECT DISTINCT doc_id, iw.item_id, iw.w, ipos, dpos - ipos AS shift, n_slots
-  FROM (SELECT doc_id, w, dpos, array_to_string(list_slice(t, dpos + 1, dpos + w), ' ') AS k FROM dw) d JOIN iw ON iw.k = d.k AND iw.w = d.w),
-run AS (SELECT doc_id, item_id, shift, count(*) AS hits, min(ipos) AS lo, max(ipos + w) AS hi, max(n_slots) AS n_slots FROM hit GROUP BY ALL),
+  FROM (SELECT doc_id, w, dpos, kind || ' ' || array_to_string(list_slice(x, dpos + 1, dpos + w), ' ') AS k FROM dw) d JOIN iw ON iw.k = d.k AND iw.w = d.w),
+run AS (SELECT doc_id, item_id, shift, min(ipos) AS lo, max(ipos + w) AS hi FROM hit WHERE n_slots > 0 GROUP BY ALL),
 pr AS (
   SELECT r.doc_id, r.item_id, r.shift, unnest(range(r.lo, r.hi)) AS p, it.t AS tt, it.raw AS ir, dt.raw AS dr
-  FROM (SELECT * FROM run WHERE n_slots > 0) r JOIN it ON it.item_id = r.item_id JOIN dt ON dt.doc_id = r.doc_id),
+  FROM run r JOIN it ON it.item_id = r.item_id JOIN dt ON dt.doc_id IS NOT DISTINCT FROM r.doc_id),
 bad AS (
   SELECT DISTINCT doc_id, item_id, shift FROM (
     SELECT doc_id, item_id, shift, regexp_replace(ir[p + 1], '^["(]+|[.,;:!?"()]+$', '', 'g') AS iv,
            count(DISTINCT regexp_replace(dr[p + shift + 1], '^["(]+|[.,;:!?"()]+$', '', 'g')) AS n
-    FROM pr WHERE regexp_matches(tt[p + 1], '[{NAME}{NUMBER}{UNIT}]') GROUP BY ALL) WHERE n > 1),
+    FROM pr WHERE regexp_matches(tt[p + 1], {_SLOT}) GROUP BY ALL) WHERE n > 1),
 f AS (
-  SELECT doc_id, item_id FROM run ANTI JOIN bad USING (doc_id, item_id, shift) JOIN nw USING (item_id)
-  GROUP BY doc_id, item_id HAVING sum(hits) >= 0.5 * max(n_windows)),
+  SELECT h.doc_id, h.item_id FROM hit h LEFT JOIN bad b ON b.doc_id IS NOT DISTINCT FROM h.doc_id AND b.item_id = h.item_id AND b.shift = h.shift
+  JOIN nw ON nw.item_id = h.item_id WHERE b.item_id IS NULL
+  GROUP BY h.doc_id, h.item_id HAVING count(DISTINCT ipos) >= 0.5 * max(n_windows)),
 g AS (SELECT doc_id, count(*) AS n, min(item_id) AS item FROM f GROUP BY 1)
 SELECT d.doc_id, g.n IS NOT NULL AS contaminated, coalesce(g.n, 0) AS n_items, g.item AS first_item
-FROM documents d LEFT JOIN g USING (doc_id)
+FROM documents d LEFT JOIN g ON d.doc_id IS NOT DISTINCT FROM g.doc_id
 """
