@@ -90,8 +90,8 @@ def fingerprint(d, x):
 
 def snake(d, x):
     """Lower-case identifier: runs of other characters become one underscore; 'unknown' if nothing is left."""
-    t = d.rep(d.rep(f"lower(trim({x}))", "[ ./-]+", "_"), "[^a-z0-9_]", "")
-    return f"coalesce(nullif(trim(BOTH '_' FROM {d.rep(t, '_+', '_')}), ''), 'unknown')" if type(d) is Spark else f"coalesce(nullif(trim({d.rep(t, '_+', '_')}, '_'), ''), 'unknown')"
+    t = d.rep(d.rep(f"lower({x})", "[^a-z0-9_]+", "_"), "_+", "_")
+    return f"coalesce(nullif(trim(BOTH '_' FROM {t}), ''), 'unknown')" if type(d) is Spark else f"coalesce(nullif(trim({t}, '_'), ''), 'unknown')"
 
 
 def first_match(d, x, patterns, other):
@@ -101,7 +101,7 @@ def first_match(d, x, patterns, other):
 
 def map_type(d, raw, name):
     known = "CASE lower(%s) " % raw + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.RAW_TYPES.items()) + " ELSE 'misc' END"
-    return f"CASE WHEN {known} = 'misc' AND {d.rx(f'lower({name})', vocab.FASTENER_HINTS)} THEN 'fastener' ELSE {known} END"
+    return f"CASE WHEN {known} = 'misc' AND {d.rx(f'lower({name})', '|'.join(vocab.FASTENER_HINTS))} THEN 'fastener' ELSE {known} END"
 
 
 def dimension(d, x, out):

@@ -4,7 +4,7 @@
 COMPONENT_TYPES = ("3d_printed", "machined", "laser_cut", "electronic", "fastener", "mechanical", "consumable", "misc")
 COMPONENT_CATEGORIES = ("mechanical", "electrical", "structural", "control", "interface", "power", "mounting", "safety")
 PHASES = ("fabrication", "assembly", "wiring", "bring_up", "testing")
-FASTENER_HINTS = "screw|nut|bolt|washer|standoff|spacer|rivet"
+FASTENER_HINTS = ("screw", "nut", "bolt", "washer", "standoff", "spacer", "rivet")
 RAW_TYPES = {
     "3d_printed": "3d_printed", "misc": "misc", "actuator": "electronic", "mechanism": "mechanical", "module": "electronic", "power": "electronic",
     "structural": "mechanical", "sensor": "electronic", "mcu": "electronic", "display": "electronic", "enclosure": "mechanical", "other": "misc",
@@ -53,8 +53,20 @@ KEYWORDS = {
     "rgb_led": ("rgb", "ws2812", "neopixel", "addressable led", "color led"), "remote_control": ("remote control", "ir remote", "rf remote", "handheld remote"),
     "compact": ("compact", "small", "tiny", "miniature", "portable"), "large": ("large", "big", "full-size"), "waterproof": ("waterproof", "ip67", "ip65", "weatherproof"),
 }
+# Fixed values of the record format: accepted words, names of phases, hints of skill, print settings patterns.
+SKILL_LEVELS = ("beginner", "intermediate", "advanced", "unknown")
+VARIANT_TYPES = ("seed", "prompt_rewrite", "positive_variant", "evaluation_negative")
+PHASE_NAMES = {"fabricate": "fabrication", "wire": "wiring", "bringup": "bring_up", "assemble": "assembly", "test": "testing"}
+BEGINNER = ("basic", "no prior", "first project")
+ADVANCED = ("advanced", "rf design", "high voltage", "professional", "fpga", "rtos")
+PRINT = {
+    "infill_pct": r"(?i)(\d+)\s*%\s*infill", "layer_mm": r"(?i)(\d+(?:\.\d+)?)\s*mm\s*layer", "perimeters": r"(?i)(\d+)\s*perimeter",
+    "nozzle_mm": r"(?i)(\d+(?:\.\d+)?)\s*mm\s*nozzle", "material_hint": r"(?i)\b(PLA|PETG|ABS|ASA|TPU|Nylon|PC)\b",
+}
+# The mark of a step without a body, and the least length of a body.
 PLACEHOLDER = "*(not yet generated)*"
 MIN_BODY = 15
+# Fixed values of the record format.
 #: Anchored size patterns in order: (kind, pattern, fields in the order of the groups).
 DIMENSIONS = (
     ("box", r"(?i)^\s*(\d+(?:\.\d+)?)\s*[x×]\s*(\d+(?:\.\d+)?)\s*[x×]\s*(\d+(?:\.\d+)?)\s*mm\s*$", ("length_mm", "width_mm", "height_mm")),
