@@ -53,6 +53,33 @@ KEYWORDS = {
     "rgb_led": ("rgb", "ws2812", "neopixel", "addressable led", "color led"), "remote_control": ("remote control", "ir remote", "rf remote", "handheld remote"),
     "compact": ("compact", "small", "tiny", "miniature", "portable"), "large": ("large", "big", "full-size"), "waterproof": ("waterproof", "ip67", "ip65", "weatherproof"),
 }
+# Fixed values of the audit: words and roles of components that cover a keyword.
+COVERAGE = {
+    "wifi": (("esp32", "esp8266", "wifi", "wireless"), ("wireless",)), "bluetooth": (("esp32", "bluetooth", "ble", "hm-10"), ("wireless",)),
+    "lora": (("lora", "sx127", "rfm9"), ("wireless",)), "esp32": (("esp32",), ("main_controller",)), "esp8266": (("esp8266", "nodemcu", "wemos"), ("main_controller",)),
+    "raspberry_pi": (("raspberry", "pi"), ("main_controller",)), "arduino": (("arduino", "uno", "nano", "mega", "atmega"), ("main_controller",)),
+    "stm32": (("stm32", "bluepill"), ("main_controller",)), "battery": (("battery", "lipo", "li-ion", "18650", "cell"), ("power_source",)),
+    "usb_c": (("usb-c", "usb_c", "type-c", "tp4056"), ()), "solar": (("solar", "photovoltaic", "panel"), ("power_source",)),
+    "display": (("display", "screen", "oled", "lcd", "matrix", "e-ink"), ("display",)), "camera": (("camera", "cam", "imx", "ov2640"), ("sensing",)),
+    "microphone": (("microphone", "mic", "inmp", "max9814"), ("sensing",)), "speaker": (("speaker", "buzzer", "piezo"), ("audio_output",)),
+    "temperature_sensor": (("bme280", "bmp", "dht", "ds18b20", "temperature"), ("sensing",)), "humidity_sensor": (("bme280", "dht", "humidity", "sht"), ("sensing",)),
+    "motion_sensor": (("pir", "mpu", "imu", "accelerometer", "gyro", "motion"), ("sensing",)),
+    "distance_sensor": (("hc-sr04", "vl53", "lidar", "tfmini", "tof", "distance", "ultrasonic"), ("sensing",)),
+    "motor": (("motor", "servo", "stepper", "nema", "dc_motor"), ("actuation",)), "pump": (("pump",), ("actuation",)), "fan": (("fan", "cooler"), ("actuation",)),
+    "rgb_led": (("ws2812", "neopixel", "rgb", "apa102"), ("display",)), "remote_control": (("ir_receiver", "rf_receiver", "remote", "vs1838"), ("user_input",)),
+    "compact": ((), ()), "large": ((), ()), "waterproof": ((), ()),
+}
+# Fixed values of repair: accessory words, what an identifier's number looks like, endings that may go.
+ACCESSORIES = ("mount", "housing", "holder", "bezel", "frame", "cover", "grille", "mast", "bracket", "shell", "case", "enclosure", "panel", "stand")
+NUMBERS = r"^(?i)(m\d+(?:\.\d+)?|\d+v\d*|\d+ma|\d+w|\d+mm|\d+cm|\d+s|\d+x\d+|\d+ah|\d+mah|\d+gb|\d+mhz|\d+ghz|v\d+)$"
+ENDINGS = "_(module|kit|assortment|assembly|board|unit|device)$"
+PLACEHOLDERS = (
+    ("electrical", "electronic", "unknown", ("mcu", "controller", "esp32", "raspberry", "pixhawk", "module", "sensor", "camera", "lidar", "tfmini", "gps", "antenna", "battery", "lipo", "charger", "buck", "boost", "regulator", "display", "oled", "led", "speaker", "buzzer", "microphone", "mic", "button", "switch", "motor", "servo", "esc", "qi", "magsafe")),
+    ("mechanical", "fastener", "carbon_steel", ("screw", "screws", "bolt", "nut", "washer")),
+    ("mechanical", "fastener", "brass", ("standoff",)),
+    ("mechanical", "3d_printed", "PLA", ("mount", "bracket", "holder", "housing", "enclosure", "frame", "panel", "cover", "shell", "hinge", "grille", "bezel", "cap", "mast")),
+)
+PRINT_MATERIALS = ("PLA", "PETG", "ABS", "ASA", "TPU", "NYLON", "PC")
 # Fixed values of the record format: accepted words, names of phases, hints of skill, print settings patterns.
 SKILL_LEVELS = ("beginner", "intermediate", "advanced", "unknown")
 VARIANT_TYPES = ("seed", "prompt_rewrite", "positive_variant", "evaluation_negative")

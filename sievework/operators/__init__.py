@@ -1 +1 @@
-"""operators of the curation engine."""
+"""Operators on nested records: normalise, validate, repair, vary, audit and score them."""

@@ -1 +1 @@
-"""sources of the curation engine."""
+"""Readers and writers of record files."""

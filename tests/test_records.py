@@ -107,3 +107,79 @@ def test_variants(records):
     for code, r in bad.items():
         assert code in {i.code for i in r.found} and [i.code for i in r.validation.issues] == [code]
         assert r.validation.issues[0].message in {i.message for i in r.found}
+
+
+def test_audit(records):
+    from sievework.operators import audit
+
+    got = {r.project_id: (list(r.prompt_keywords), list(r.mismatches), r.coverage_ratio) for r in audit.audit_records(records).collect()}
+    assert got["desk_clock_v2"] == (["wifi", "display"], [], 1.0) and got["bare"] == ([], [], 1.0)
+    asked = records.withColumn("project", audit.F.col("project").withField("original_prompt", audit.F.lit("A portable mic with LoRa; ammic no")))
+    rows = audit.audit_records(asked)
+    assert {r.project_id: (list(r.prompt_keywords), list(r.mismatches)) for r in rows.collect()}["desk_clock_v2"] == (["lora", "microphone", "compact"], ["lora", "microphone"])
+    total = {r.variant_type: tuple(r)[1:] for r in audit.audit_summary(rows).collect()}
+    assert total["ALL"] == (3, 3, 3, 6) and {r.keyword: r.n for r in audit.missed_keywords(rows).collect()} == {"lora": 3, "microphone": 3}
+
+
+def test_fuzzy_resolve(spark):
+    from sievework.operators import repair
+
+    known = ["esp32_mcu", "m3_screw", "m4_bolt_set", "lidar_sensor", "display_mount", "oled_display_main"]
+    want = {"esp32_mcu": "esp32_mcu", "m3_screws": "m3_screw", "esp32_microcontroller": "esp32_mcu", "lidar_sensor_module": "lidar_sensor", "m5_bolt_set": None, "display": None,
+            "main_oled_display": "oled_display_main", "oled_display_mount": "display_mount", "nothing": None}
+    df = spark.createDataFrame([(k, known) for k in want], "m string, known array<string>").selectExpr("m", f"{repair.fuzzy_resolve('m', 'known')} AS to")
+    assert {r.m: r.to for r in df.collect()} == want
+
+
+def test_fixup(records):
+    from sievework.operators import repair
+
+    hurt = records.withColumn("relationships", rules.F.expr("transform(relationships, (r, i) -> named_struct('source', r.source, 'relation', r.relation, 'target', CASE i WHEN 0 THEN 'disps' WHEN 1 THEN 'wall_bracket' ELSE r.target END, 'required', r.required, 'notes', r.notes))"))
+    got = by_id(repair.fixup(hurt))
+    clock = got["desk_clock_v2"]
+    assert clock["actions"] == ["fuzzy-resolve 'MCU-1' -> None"] or any(a == "fuzzy-resolve 'disps' -> 'disp'" for a in clock["actions"])
+    assert clock["relationships"][0]["target"] == "disp" and clock["relationships"][1]["target"] == "wall_bracket"
+    made = {c["component_id"]: c for c in clock["components"]}["wall_bracket"]
+    assert (made["type"], made["material"], made["display_name"], made["fabrication_ref"]) == ("3d_printed", "PLA", "Wall Bracket", "wall_bracket")
+    assert {x["component_id"] for x in clock["sourcing"]["items"]} >= {"wall_bracket", "m3_screw"}
+    assert clock["validation"]["issues"] == [] and got["bare"]["instructions"] == [] and got["bare"]["actions"] == ["synthesize 0 instruction steps"]
+    filled = by_id(repair.backfill_print_settings(repair.fixup(hurt)))["desk_clock_v2"]["fabrication"]["component_settings"]
+    assert [x["component_id"] for x in filled] == ["case", "wall_bracket"] and filled[1]["settings"]["infill_pct"] == 20
+    steps = records.where("project.project_id = 'desk_clock_v2'").selectExpr(f"{repair.synthesised()} AS s").first().s
+    assert [(s.step_id, s.dependencies) for s in steps][:3] == [("fabrication_1", []), ("wiring_1", ["fabrication_1"]), ("wiring_2", ["wiring_1"])]
+
+
+def test_scoring(spark):
+    from sievework.operators import scoring
+
+    gold = '{"relationships": [{"source": "a", "relation": "contains", "target": "b"}, {"source": "b", "relation": "connects_to", "target": "a"}]}'
+    user = 'Components: {"components": [{"component_id": "a"}, {"component_id": "b"}]} please'
+    cases = [
+        ("D", user, "Sure:\n```json\n" + gold + "\n```", gold),
+        ("D", user, 'x {"relationships": [{"source": "a", "relation": "glued", "target": "z"}, {"relation": "contains", "target": "b", "source": "a"}]} y', gold),
+        ("D", user, "no json", gold),
+        ("C", "", '{"components": [{"component_id": "Bad Id", "type": "misc", "category": "power"}]}', '{"components": []}'),
+        ("E", user, '{"instructions": [{"step_id": "s1", "phase": "wiring", "component_ids": ["a", "q"], "dependencies": ["s2"]}, {"step_id": "s2", "phase": "nap", "component_ids": [], "dependencies": ["s1"]}]}', '{"instructions": [{"step_id": "s1", "phase": "wiring", "component_ids": ["a"]}]}'),
+        ("F", "", '{"schema_valid": true, "reference_integrity_valid": true, "manufacturability_valid": false, "naming_consistency_valid": true, "issues": [{"code": "x"}], "confidence_score": 1.5}', '{"schema_valid": true, "reference_integrity_valid": true, "manufacturability_valid": true, "naming_consistency_valid": true, "issues": [], "confidence_score": 1.0}'),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, mode string, user string, output string, gold string")
+    got = {r.i: r for r in scoring.score_cases(df).collect()}
+    assert [(got[i].parsed, got[i].valid, got[i].exact, got[i].tp, got[i].fp, got[i].fn) for i in range(6)] == [
+        (True, True, True, 2, 0, 0), (True, False, False, 1, 1, 1), (False, False, False, 0, 0, 2), (True, False, False, 0, 1, 0), (True, False, False, 2, 2, 0), (True, False, False, 3, 2, 1),
+    ]
+    assert list(got[1].errors) == ["relationship[0].target 'z' not an input component", "relationship[0] bad relation 'glued'"]
+    assert list(got[4].errors) == ["step[1] bad phase 'nap'", "step[0] references unknown component 'q'", "step[0] depends on later/missing step 's2'"]
+    assert got[3].errors[0].startswith("component[0] missing description, dimensions")
+    table = {r["mode"]: r for r in scoring.report(scoring.score_cases(df)).collect()}
+    assert table["D"].n == 3 and table["D"].f1 == round(6 / (6 + 1 + 3), 6) and table["ALL"].n == 6
+
+
+def test_replies(spark):
+    from sievework.operators import scoring
+
+    whole = "{" + ", ".join(f'"{k}": {{}}' for k in scoring.SECTIONS) + "}"
+    rows = [whole, f"```JSON\n{whole}\n```", f'text {{"a": 1}} and {whole} end', "[1, 2]", "nothing", '{"project": {}}', None]
+    got = [(r.accepted, r.error_count, r.warning_count, r.codes[:1]) for r in scoring.audit_replies(spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, reply string")).orderBy("i").collect()]
+    assert got == [(True, 0, 0, []), (True, 0, 1, ["json_fence_removed"]), (True, 0, 1, ["json_wrapper_removed"]), (False, 1, 0, ["wrong_root_type"]), (False, 1, 0, ["invalid_json"]), (False, 7, 0, ["schema_violation"]), (False, 1, 0, ["invalid_json"])]
+    modes = spark.createDataFrame([("You are in Mode D now",), ("mode x",)], "system string").select(scoring.detect_mode().alias("m")).collect()
+    assert [r.m for r in modes] == ["D", "?"]
