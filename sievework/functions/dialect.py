@@ -38,6 +38,10 @@ class Spark:
     def keep(self, x, cond):
         return f"filter({x}, q -> {cond})"
 
+    def record(self, **fields):
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+    array = staticmethod(lambda items: f"array({', '.join(items)})")
     size = staticmethod(lambda x: f"size({x})")
     money = staticmethod(lambda x: f"CAST({x} AS DECIMAL(18, 2))")
     b64 = staticmethod(lambda x: f"translate(base64(CAST({x} AS BINARY)), chr(13) || chr(10), '')")
@@ -76,6 +80,10 @@ class Duck(Spark):
     def keep(self, x, cond):
         return f"list_filter({x}, lambda q: {cond})"
 
+    def record(self, **fields):
+        return "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}"
+
+    array = staticmethod(lambda items: f"[{', '.join(items)}]")
     size = staticmethod(lambda x: f"len({x})")
     b64 = staticmethod(lambda x: f"base64(encode({x}))")
     div = staticmethod(lambda a, b: f"({a} // {b})")
@@ -99,9 +107,10 @@ def first_match(d, x, patterns, other):
     return "CASE " + " ".join(f"WHEN {d.rx(x, '(?i)' + p)} THEN '{name}'" for p, name in patterns) + f" ELSE {other} END"
 
 
-def map_type(d, raw, name):
+def map_type(d, raw, name, printed="FALSE"):
+    """A type of the vocabulary; vague ones are fasteners by their name, what has print settings is printed."""
     known = "CASE lower(%s) " % raw + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.RAW_TYPES.items()) + " ELSE 'misc' END"
-    return f"CASE WHEN {known} = 'misc' AND {d.rx(f'lower({name})', '|'.join(vocab.FASTENER_HINTS))} THEN 'fastener' ELSE {known} END"
+    return f"CASE WHEN {known} = 'misc' AND {d.rx(f'lower({name})', '|'.join(vocab.FASTENER_HINTS))} THEN 'fastener' WHEN {printed} THEN '3d_printed' ELSE {known} END"
 
 
 def dimension(d, x, out):

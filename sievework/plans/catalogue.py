@@ -72,7 +72,8 @@ def _modes(d):
         ("E", "source || '/' || CAST(doc_id AS STRING)", "text", "n_chars > 0"),
         ("F", "source || '/' || CAST(doc_id AS STRING)", "CAST(quality AS STRING)", "quality IS NOT NULL"),
     ]
-    return " UNION ALL ".join(f"SELECT doc_id, '{m}' AS mode, {u} AS usr, {a} AS ans FROM ({base}) b{m} WHERE {w}" for m, u, a, w in made)
+    each = d.array(d.record(mode=f"'{m}'", usr=u, ans=a, ok=w) for m, u, a, w in made)
+    return f"SELECT doc_id, r.mode AS mode, r.usr AS usr, r.ans AS ans FROM (SELECT doc_id, {d.explode(each, 'r')} FROM ({base}) b) x WHERE r.ok"
 
 
 @query
@@ -109,8 +110,9 @@ def split_leakage(d):
 
 @query
 def length_report(d):
-    ranked = f"SELECT n, row_number() OVER (ORDER BY n) - 1 AS i, count(*) OVER () AS c FROM (SELECT {d.div('n_chars', '4')} AS n FROM {d.col('documents')}) t"
-    at = lambda p: f"max(CASE WHEN i = least(c - 1, CAST(floor(c * {p}) AS BIGINT)) THEN n END)"
+    lengths = f"SELECT {d.div('n_chars', '4')} AS n, count(*) AS m FROM {d.col('documents')} WHERE n_chars IS NOT NULL GROUP BY 1"
+    ranked = f"SELECT n, sum(m) OVER (ORDER BY n) AS upto, sum(m) OVER () AS c FROM ({lengths}) t"
+    at = lambda p: f"min(CASE WHEN upto > least(c - 1, CAST(floor(c * {p}) AS BIGINT)) THEN n END)"
     top = at("0.99")
     return f"SELECT min(n) AS shortest, {at('0.50')} AS p50, {at('0.90')} AS p90, {at('0.95')} AS p95, {top} AS p99, max(n) AS longest, CAST(power(2, greatest(9, {d.bits(top)})) AS BIGINT) AS suggested FROM ({ranked}) q"
 
@@ -168,7 +170,7 @@ def forward_deps(d):
 
 @query
 def role_infer(d):
-    return f"SELECT p_partkey, {first_match(d, 'p_name', vocab.ROLES, 'lower(p_type)')} AS role FROM {d.col('part')}"
+    return f"SELECT p_partkey, {first_match(d, 'p_name', vocab.ROLES, "coalesce(nullif(p_type, ''), 'unknown')")} AS role FROM {d.col('part')}"
 
 
 _LABELS = ("servo horn", "cable routed", "housing", "press fit", "press-fit", "M3 bolts", "secures", "rests on", "aligned", "mounts_via_m2_5_screws", "glued", "")
@@ -187,8 +189,8 @@ def relation_map(d):
 def type_map(d):
     raw = "CASE p_partkey % 5 WHEN 0 THEN 'Sensor' WHEN 1 THEN 'misc' WHEN 2 THEN 'structural' WHEN 3 THEN 'machined' END"
     name = "CASE p_size % 3 WHEN 0 THEN 'M3 Screw' WHEN 1 THEN 'Donut Ring' ELSE p_name END"
-    kind = map_type(d, "coalesce(raw, '')", "name")
-    return f"SELECT p_partkey, {kind} AS type, CASE WHEN {kind} = 'electronic' THEN 'electrical' ELSE 'mechanical' END AS category FROM (SELECT p_partkey, {raw} AS raw, {name} AS name FROM {d.col('part')}) t"
+    kind = map_type(d, "coalesce(raw, '')", "name", "p_size % 11 = 0")
+    return f"SELECT p_partkey, {kind} AS type, CASE WHEN {kind} = 'electronic' THEN 'electrical' ELSE 'mechanical' END AS category FROM (SELECT p_partkey, p_size, {raw} AS raw, {name} AS name FROM {d.col('part')}) t"
 
 
 @query
@@ -210,10 +212,10 @@ def dims_parse(d):
 
 @query
 def print_parse(d):
-    raw = "CAST(p_size AS STRING) || '% infill, 0.2mm layer, ' || CAST(p_size % 7 AS STRING) || ' perimeters, PETG'"
-    num = lambda pat, kind: f"TRY_CAST({d.ext('raw', pat, 1)} AS {kind})"
-    pats = (r"(?i)(\d+)\s*%\s*infill", r"(?i)(\d+(?:\.\d+)?)\s*mm\s*layer", r"(?i)(\d+)\s*perimeter", r"(?i)\b(PLA|PETG|ABS|TPU|NYLON)\b")
-    return f"SELECT p_partkey, {num(pats[0], 'INT')} AS infill_pct, {num(pats[1], 'DOUBLE')} AS layer_mm, {num(pats[2], 'INT')} AS perimeters, upper({d.ext('raw', pats[3], 1)}) AS material FROM (SELECT p_partkey, {raw} AS raw FROM {d.col('part')}) t"
+    hint = "CASE p_size % 4 WHEN 0 THEN 'PETG' WHEN 1 THEN 'ASA' WHEN 2 THEN 'pc' ELSE 'wood' END"
+    raw = f"CAST(p_size AS STRING) || '% infill, 0.2mm layer, ' || CAST(p_size % 7 AS STRING) || ' perimeters, 0.4 mm nozzle, ' || {hint}"
+    num = lambda k, kind: f"TRY_CAST(nullif({d.ext('raw', vocab.PRINT[k], 1)}, '') AS {kind})"
+    return f"SELECT p_partkey, {num('infill_pct', 'INT')} AS infill_pct, {num('layer_mm', 'DOUBLE')} AS layer_mm, {num('perimeters', 'INT')} AS perimeters, {num('nozzle_mm', 'DOUBLE')} AS nozzle_mm, upper({d.ext('raw', vocab.PRINT['material_hint'], 1)}) AS material FROM (SELECT p_partkey, {raw} AS raw FROM {d.col('part')}) t"
 
 
 @query
@@ -231,7 +233,7 @@ def variants_positive(d):
 @query
 def accessory_light(d):
     ranked = f"SELECT l_orderkey, l_partkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM {d.col('lineitem')}"
-    return f"SELECT l_orderkey, count(*) AS n, sum(CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'R' AND rn > 2) THEN 1 ELSE 0 END) AS dropped FROM ({ranked}) t GROUP BY l_orderkey HAVING sum(CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'R' AND rn > 2) THEN 1 ELSE 0 END) > 0"
+    return f"SELECT l_orderkey, count(*) AS n, sum(CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'R' AND rn > 4) THEN 1 ELSE 0 END) AS dropped FROM ({ranked}) t GROUP BY l_orderkey HAVING sum(CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'R' AND rn > 4) THEN 1 ELSE 0 END) > 0"
 
 
 @query
@@ -245,16 +247,16 @@ def variants_negative_codes(d):
 @query
 def drop_cascade(d):
     drop = f"SELECT p_partkey FROM {d.col('part')} WHERE p_size < 5"
-    left = f"SELECT l_orderkey, count(*) AS n FROM {d.col('lineitem')} WHERE l_partkey NOT IN ({drop}) GROUP BY l_orderkey"
-    return f"SELECT o.o_orderkey, coalesce(k.n, 0) AS kept_items, k.n IS NULL AS dropped FROM {d.col('orders')} o LEFT JOIN ({left}) k ON o.o_orderkey = k.l_orderkey WHERE o.o_orderkey IN (SELECT l_orderkey FROM {d.col('lineitem')})"
+    left = f"SELECT l_orderkey, count(*) AS n FROM {d.col('lineitem')} l LEFT JOIN ({drop}) x ON l.l_partkey = x.p_partkey WHERE x.p_partkey IS NULL GROUP BY l_orderkey"
+    return f"SELECT o.o_orderkey, coalesce(k.n, 0) AS kept_items, k.n IS NULL AS dropped FROM {d.col('orders')} o LEFT JOIN ({left}) k ON o.o_orderkey = k.l_orderkey JOIN (SELECT DISTINCT l_orderkey FROM {d.col('lineitem')}) i ON o.o_orderkey = i.l_orderkey"
 
 
 def _keywords(d):
-    aliases = [(k, a) for k, v in vocab.KEYWORDS.items() for a in v]
     hit = lambda a: d.rx("t", rf"\b{a}\b") if len(a) <= 6 else d.contains("t", f"'{a}'")
-    cases = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS keyword FROM low WHERE " + " OR ".join(hit(a) for kk, a in aliases if kk == k) for k in vocab.KEYWORDS)
+    cases = d.array(f"CASE WHEN {' OR '.join(map(hit, v))} THEN '{k}' END" for k, v in vocab.KEYWORDS.items())
     salted = "CASE doc_id % 7 WHEN 0 THEN ' esp32 lcd panel' WHEN 1 THEN ' a pirate ship, portable' WHEN 2 THEN ' usb-c battery with wifi' ELSE '' END"
-    return f"WITH low AS (SELECT doc_id, lower(text) || {salted} AS t FROM {d.col('documents')}) SELECT DISTINCT doc_id, keyword FROM ({cases}) k"
+    low = f"SELECT doc_id, lower(text) || {salted} AS t FROM {d.col('documents')}"
+    return f"SELECT DISTINCT doc_id, keyword FROM (SELECT doc_id, {d.explode(cases, 'keyword')} FROM ({low}) l) k WHERE keyword IS NOT NULL"
 
 
 @query
@@ -264,13 +266,13 @@ def keyword_audit(d):
 
 @query
 def audit_summary(d):
-    return f"SELECT keyword, count(*) AS n, count(CASE WHEN doc_id % 2 = 0 THEN 1 END) AS covered FROM ({_keywords(d)}) t GROUP BY keyword"
+    return f"SELECT keyword, count(*) AS n FROM ({_keywords(d)}) t GROUP BY keyword"
 
 
 @query
 def jaccard_pairs(d):
     words = f"SELECT p_partkey AS id, {d.distinct(d.keep(d.words('lower(p_name)'), f'length(q) > 2 AND q NOT IN ({quoted(vocab.STOPWORDS)})'))} AS w FROM {d.col('part')}"
-    return f"WITH s AS ({words}), e AS (SELECT id, {d.size('w')} AS n, {d.explode('w', 'token')} FROM s), p AS (SELECT a.id AS a, b.id AS b, a.n AS n, b.n AS m, count(*) AS c FROM e a JOIN e b ON a.token = b.token AND a.id < b.id GROUP BY 1, 2, 3, 4) SELECT a, count(*) AS n_similar, max(CAST(c AS DOUBLE) / (n + m - c)) AS best FROM p WHERE c * 100 >= 55 * (n + m - c) GROUP BY a"
+    return f"WITH s AS ({words}), e AS (SELECT id, {d.size('w')} AS n, {d.explode('w', 'token')} FROM s), p AS (SELECT a.id AS a, b.id AS b, a.n AS n, b.n AS m, count(*) AS c FROM e a JOIN e b ON a.token = b.token AND a.id < b.id AND 100 * least(a.n, b.n) >= 55 * greatest(a.n, b.n) GROUP BY 1, 2, 3, 4) SELECT a, count(*) AS n_similar, max(CAST(c AS DOUBLE) / (n + m - c)) AS best FROM p WHERE c * 100 >= 55 * (n + m - c) GROUP BY a"
 
 
 @query
@@ -296,13 +298,14 @@ def prf_rollup(d):
 
 @query
 def token_acc_ppl(d):
-    return f"SELECT event_type, count(*) AS n_tokens, round(exp(CAST(sum(CAST(value AS DECIMAL(18, 6))) AS DOUBLE) / count(*) / 100), 6) AS perplexity FROM {d.col('events')} GROUP BY event_type"
+    token = f"SELECT event_type, CASE WHEN CAST({d.field('props', 'k')} AS BIGINT) % 3 = user_id % 3 THEN 1 ELSE 0 END AS hit, CAST(value / 100 AS DECIMAL(18, 6)) AS loss FROM {d.col('events')}"
+    return f"SELECT event_type, count(*) AS n_tokens, round(CAST(sum(hit) AS DOUBLE) / count(*), 6) AS accuracy, round(exp(CAST(sum(loss) AS DOUBLE) / count(*)), 6) AS perplexity FROM ({token}) t GROUP BY event_type"
 
 
 @query
 def bundle_steps(d):
-    line = "CAST(turn AS STRING) || '. ' || substr(text, 1, 20)"
-    return f"SELECT conv_id, role, min(turn) AS first_turn, count(*) AS n_steps, {d.listagg(line, 'turn', chr(39) + ' / ' + chr(39))} AS body FROM {d.col('conversations')} GROUP BY conv_id, role"
+    line = "CAST(turn AS STRING) || '. ' || coalesce(text, '')"
+    return f"SELECT conv_id, role, min(turn) AS first_turn, count(*) AS n_steps, md5({d.listagg(line, 'turn', chr(39) + ' / ' + chr(39))}) AS body_md5 FROM {d.col('conversations')} GROUP BY conv_id, role"
 
 
 @query
@@ -318,8 +321,8 @@ def parts_csv(d):
 
 @query
 def case_manifest(d):
-    kinds = (("text", "'doc/' || CAST(t.doc_id AS STRING)", "TRUE"), ("image", "p.url", "p.url IS NOT NULL"), ("label", "'label/' || CAST(t.doc_id AS STRING)", "t.doc_id % 2 = 0"))
-    one = lambda k, path, w: f"SELECT CAST(t.doc_id AS STRING) || '__{k}' AS case_id, '{k}' AS input_type, {path} AS input_path FROM {d.col('documents')} t LEFT JOIN {d.col('pages')} p ON t.doc_id = p.page_id WHERE {w}"
+    kinds = (("text", "'doc/' || CAST(t.doc_id AS STRING)", "TRUE"), ("image", "p.url", "p.url IS NOT NULL"), ("label", "'label/' || CAST(t.doc_id AS STRING)", "l.doc_id IS NOT NULL"))
+    one = lambda k, path, w: f"SELECT CAST(t.doc_id AS STRING) || '__{k}' AS case_id, '{k}' AS input_type, {path} AS input_path FROM {d.col('documents')} t LEFT JOIN {d.col('pages')} p ON t.doc_id = p.page_id LEFT JOIN (SELECT DISTINCT doc_id FROM {d.col('labels')}) l ON t.doc_id = l.doc_id WHERE {w}"
     return " UNION ALL ".join(one(*k) for k in kinds)
 
 

@@ -183,3 +183,21 @@ def test_replies(spark):
     assert got == [(True, 0, 0, []), (True, 0, 1, ["json_fence_removed"]), (True, 0, 1, ["json_wrapper_removed"]), (False, 1, 0, ["wrong_root_type"]), (False, 1, 0, ["invalid_json"]), (False, 7, 0, ["schema_violation"]), (False, 1, 0, ["invalid_json"])]
     modes = spark.createDataFrame([("You are in Mode D now",), ("mode x",)], "system string").select(scoring.detect_mode().alias("m")).collect()
     assert [r.m for r in modes] == ["D", "?"]
+
+
+@pytest.mark.parametrize("name", sorted(__import__("sievework.plans.records", fromlist=["x"]).QUERIES))
+def test_queries_match_hand_written_sql(spark, name):
+    import duckdb
+
+    from sievework.plans import records as plans
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    df = plans.QUERIES[name](spark, sf)
+    columns = sorted(df.columns)
+    want = con.sql(f"select {', '.join(chr(34) + c + chr(34) for c in columns)} from ({plans.ORACLES[name]})").fetchall()
+    plain = lambda rows: sorted((tuple(float(v) if type(v).__name__ in ("Decimal", "float") else v for v in r) for r in rows), key=repr)
+    got, want = plain(map(tuple, df.select(*columns).collect())), plain(want)
+    assert got == want, [x for x in zip(got, want, strict=False) if x[0] != x[1]][:3]
