@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ddl, text_of
+from .base import ddl, first_by_hash, text_of
 
 # Fixed values of the contract: kinds in output order, and the patterns of each.
 KINDS = ("email", "ip", "card", "phone")
@@ -398,7 +398,9 @@ def joined(spans: Iterable[tuple[int, int, int]]) -> str:
 def fit(docs: DataFrame, sample_rows: int = 200) -> Tagger:
     """A tagger for a corpus: labelled spans set among the words of sample_rows texts at most, by hash of
     doc_id, plus the base spans of those texts with their surroundings. The same corpus gives the same tagger."""
-    picked = docs.select("doc_id", F.substring(text_of(), 1, 2000).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).collect()
+    ids = first_by_hash(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", sample_rows).select(F.col("doc_id").alias("p_id"))
+    picked = docs.join(F.broadcast(ids), docs["doc_id"] == ids["p_id"]).select("p_id", text_of().alias("text")).collect()  # sample_rows ids at most
+    picked = sorted(picked, key=lambda r: (r.p_id, r.text))
     words = sorted({w for r in picked for w in r.text.split() if len(w) < 20})[:20_000]
     samples = labelled_samples(words)
     for r in picked:

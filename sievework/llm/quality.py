@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ddl, text_of
+from .base import ddl, first_by_hash, free_name, stage, text_of
 
 _SHAPE = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(r"\w+")
@@ -81,7 +82,7 @@ class TextView:
     """Features of a text: hashed word shapes (mean counts), telling words and word pairs (there or not), and ratios
     of characters, words and lines."""
 
-    def __init__(self, buckets: int = 4096, grams: np.ndarray | None = None):
+    def __init__(self, buckets: int = 1024, grams: np.ndarray | None = None):
         self.buckets, self.known, self.hashes = buckets, {}, Hashes()
         self.grams = np.zeros(0, np.int64) if grams is None else grams
 
@@ -115,16 +116,38 @@ class TextView:
         return x
 
 
+_LAYOUT = 7
+
+
+def layout(text: str) -> list[float]:
+    """How a text is laid out, whatever it says: lines, how many are blank or repeated, how long they are, bytes a character."""
+    lines = text.split("\n")
+    full = [x for x in lines if x.strip()]
+    n, sizes = max(len(full), 1), list(map(len, full)) or [0]
+    size = max(len(text), 1)
+    return [math.log1p(len(lines)) / 10, 1 - len(full) / len(lines), 1 - len(set(full)) / n if full else 0.0, math.log1p(sum(sizes) / n) / 10, math.log1p(max(sizes)) / 10, len(text.encode("utf-8", "surrogatepass")) / size / 4, float(not full)]
+
+
 def meta_row(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    """Features of what stands beside the text: source, language, length."""
-    x = np.zeros(_META + 2, np.float32)
-    x[zlib.crc32(f"s{source}".encode()) % (_META - 32)] = 1
-    x[_META - 32 + zlib.crc32(f"l{lang}".encode()) % 32] = 1
+    """Features of what stands beside the text: source, language, length and its order of magnitude; layout follows."""
+    x = np.zeros(_META + 2 + _LAYOUT, np.float32)
+    x[zlib.crc32(f"s{source}".encode()) % (_META - 48)] = 1
+    x[_META - 48 + zlib.crc32(f"l{lang}".encode()) % 32] = 1
+    x[_META - 16 + min(max(n_chars or 0, 0).bit_length(), 30) // 2] = 1
     x[_META] = math.log1p(max(n_chars or 0, 0)) / 10
     x[_META + 1] = float(n_chars is None)
     return x
 
 
+def meta_matrix(rows: list[tuple]) -> np.ndarray:
+    """Metadata features of rows (text, source, lang, n_chars, ...)."""
+    x = np.zeros((len(rows), _META + 2 + _LAYOUT), np.float32)
+    for i, r in enumerate(rows):
+        x[i] = meta_row(*r[1:4])
+        x[i, _META + 2 :] = layout(r[0])
+    return x
+
+
 @dataclass
 class Logistic:
     """Logistic regression with standardised inputs and a ridge."""
@@ -207,7 +230,7 @@ class CoTrained:
         return _sigmoid(self.mix[0] + self.mix[1] * text_logit + self.mix[2] * meta_logit)
 
 
-def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per_round: int = 100, sure: float = 0.9, buckets: int = 4096) -> CoTrained:
+def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per_round: int = 100, sure: float = 0.9, buckets: int = 1024) -> CoTrained:
     """Co-train on rows (text, source, lang, n_chars[, label]).
 
     In each round either view gives up to per_round of the unlabelled rows per class, those it is surest of
@@ -219,14 +242,13 @@ def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per
     if len(set(y.tolist())) < 2:
         level = 0.0 if len(y) and y[0] == 0 else 1.0
         empty = lambda n: Logistic(np.zeros(n), 0.0)
-        return CoTrained(empty(buckets + _DENSE), empty(_META + 2), np.array([20.0 * (2 * level - 1), 0, 0]), buckets, view.grams, [])
+        return CoTrained(empty(buckets + _DENSE), empty(_META + 2 + _LAYOUT), np.array([20.0 * (2 * level - 1), 0, 0]), buckets, view.grams, [])
     held = np.arange(len(y)) % 5 == 4
     if min(len(set(y[held].tolist())), len(set(y[~held].tolist()))) < 2:
         held = np.zeros(len(y), bool)
     view.grams = telling_grams([np.unique(gram_buckets(r[0], view.hashes)) for r, h in zip(labelled, held, strict=True) if not h], y[~held])
-    xt, xm = view.matrix([r[0] for r in labelled]), np.array([meta_row(*r[1:4]) for r in labelled])
-    ut = view.matrix([r[0] for r in unlabelled])
-    um = np.array([meta_row(*r[1:4]) for r in unlabelled]) if unlabelled else np.zeros((0, _META + 2), np.float32)
+    xt, xm = view.matrix([r[0] for r in labelled]), meta_matrix(labelled)
+    ut, um = view.matrix([r[0] for r in unlabelled]), meta_matrix(unlabelled)
     given = {"text": np.full(len(unlabelled), -1), "meta": np.full(len(unlabelled), -1)}  # labels received from the other view
     train_t, train_m, tally = xt[~held], xm[~held], []
 
@@ -234,11 +256,19 @@ def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per
         take = got >= 0
         return fit_logistic(np.concatenate([x, u[take]]), np.concatenate([y[~held], got[take]]), np.concatenate([np.ones(len(x)), np.full(take.sum(), 0.5)]))
 
-    text, meta = fitted(train_t, ut, given["text"]), fitted(train_m, um, given["meta"])
+    on = held if held.any() else ~held
+    def both() -> tuple[Logistic, Logistic]:
+        """Either view fitted to its rows, its confidence calibrated on the rows held out."""
+        a, b = fitted(train_t, ut, given["text"]), fitted(train_m, um, given["meta"])
+        _calibrate(a, xt[on], y[on])
+        _calibrate(b, xm[on], y[on])
+        return a, b
+
+    text, meta = both()
     for _ in range(rounds if len(unlabelled) else 0):
         passed = []
         for giver, x, to in ((text, ut, "meta"), (meta, um, "text")):
-            p, before = _sigmoid(giver.raw(x)), given[to] >= 0
+            p, before = _sigmoid(giver.logit(x)), given[to] >= 0
             n = 0
             for k, conf in ((1, p), (0, 1 - p)):
                 best = np.argsort(-np.where(before, -1, conf), kind="stable")[:per_round]
@@ -249,18 +279,16 @@ def cotrain(labelled: list[tuple], unlabelled: list[tuple], rounds: int = 4, per
         tally.append(tuple(passed))
         if not any(passed):
             break
-        text, meta = fitted(train_t, ut, given["text"]), fitted(train_m, um, given["meta"])
-    on = held if held.any() else ~held
-    _calibrate(text, xt[on], y[on])
-    _calibrate(meta, xm[on], y[on])
+        text, meta = both()
     views = np.column_stack([text.logit(xt[on]), meta.logit(xm[on])]).astype(np.float64)
     mix = _mix(views, y[on])
     return CoTrained(text, meta, mix, buckets, view.grams, tally)
 
 
 def _mix(views: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic weights of the two calibrated logits, near (0, 1, 0) by a ridge, never negative."""
-    x, prior = np.column_stack([np.ones(len(y)), views]), np.array([0.0, 1.0, 0.0])
+    """Logistic weights of the two calibrated logits, near (0, 1, 0.5) by a ridge, never negative: views that know
+    nothing of each other's errors add up their logits, and a view that knows little has small ones."""
+    x, prior = np.column_stack([np.ones(len(y)), views]), np.array([0.0, 1.0, 0.5])
     loss = lambda w: np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ w)).sum() + 0.5 * ((w - prior) ** 2).sum()
     w = prior
     for _ in range(25):
@@ -279,40 +307,45 @@ def _mix(views: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, labelled_rows: int, unlabelled_rows: int):
-    """Bounded samples, by hash of doc_id: labelled rows, then rows without a label. Only ids are sorted;
-    texts are read for the chosen ids alone. An id with unlike labels counts as its least."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"))
-    first = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    present = docs.select("doc_id").where("doc_id is not null")
-    yes = first(known.join(present, "doc_id", "left_semi"), labelled_rows).collect()
-    no = first(present.distinct().join(known, "doc_id", "left_anti"), unlabelled_rows).collect()
-    wanted = {r.doc_id: r.y for r in yes} | {r.doc_id: -1 for r in no}
-    picked = docs.sparkSession.createDataFrame(list(wanted.items()) or [(-1, -1)], "p_id long, y int")
-    rows = docs.select("doc_id", text_of().alias("text"), "source", "lang", "n_chars")
-    rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("p_id"))  # at most labelled_rows + unlabelled_rows ids
-    out: dict[int, tuple] = {}
-    for r in rows.toLocalIterator():
-        out.setdefault(r.doc_id, (r.text, r.source, r.lang, r.n_chars, r.y))
-    ordered = [out[i] for i in wanted if i in out]
-    return [r for r in ordered if r[4] >= 0], [r for r in ordered if r[4] < 0]
+def training_rows(docs: DataFrame, labels: DataFrame, labelled_rows: int, unlabelled_rows: int) -> DataFrame:
+    """(t_text, t_source, t_lang, t_chars, t_label): bounded samples by hash of doc_id, of rows with a label
+    (labels: doc_id, y) and of rows without (-1). Ids are chosen first; only the rows that they name are read whole.
+    An id with unlike labels counts as its least."""
+    known = labels.where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.min("y").cast("int").alias("y"))
+    present = docs.select("doc_id").where("doc_id is not null").distinct()
+    yes = first_by_hash(known.join(present, "doc_id", "left_semi"), "doc_id", labelled_rows)
+    no = first_by_hash(present.join(known, "doc_id", "left_anti"), "doc_id", unlabelled_rows).withColumn("y", F.lit(-1))
+    picked = stage(yes.unionByName(no).select(F.col("doc_id").alias("p_id"), F.col("y").alias("t_label")), "quality-ids")
+    rows = docs.join(F.broadcast(picked), docs["doc_id"] == picked["p_id"])  # labelled_rows + unlabelled_rows ids at most
+    rows = rows.select("p_id", "t_label", text_of().alias("t_text"), F.col("source").alias("t_source"), F.col("lang").alias("t_lang"), F.col("n_chars").cast("long").alias("t_chars"))
+    return rows.orderBy(F.xxhash64("p_id"), "t_text").dropDuplicates(["p_id"]).drop("p_id")
 
 
 _SCORED = pa.schema([("text_score", pa.float64()), ("meta_score", pa.float64()), ("score", pa.float64()), ("toxic_score", pa.float64())])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled_rows: int = 1500, unlabelled_rows: int = 1500) -> CoTrained:
-    """Co-train on bounded samples of the corpus (labelled_rows and unlabelled_rows at most)."""
-    return cotrain(*training_rows(docs, labels, label, labelled_rows, unlabelled_rows))
+def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = 1500, unlabelled_rows: int = 1500) -> CoTrained:
+    """Co-train on bounded samples of the corpus (labelled_rows and unlabelled_rows at most), in one task of an
+    executor: texts never come to the driver, only the model does. labels: doc_id, y."""
+    sample = training_rows(docs, labels, labelled_rows, unlabelled_rows)
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("t_text", "t_source", "t_lang", "t_chars", "t_label")), strict=True)]
+        rows.sort(key=lambda r: (zlib.crc32(r[0].encode("utf-8", "surrogatepass")), r[0]))
+        model = cotrain([r for r in rows if r[4] >= 0], [r for r in rows if r[4] < 0])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = sample.coalesce(1).mapInArrow(train, "model binary").first()
+    return pickle.loads(made.model) if made else cotrain([], [])
 
 
 def fit_both(docs: DataFrame, labels: DataFrame, label: str = "quality", toxic: str = "toxic") -> tuple[CoTrained, CoTrained]:
     """The models of a good document and of one that isn't toxic; labels without such a column reject none as toxic."""
     if toxic in labels.columns:
-        clean = labels.select("doc_id", (1 - F.col(toxic)).alias("clean"))
+        clean = labels.select("doc_id", (1 - F.col(toxic)).alias("y"))
     else:
-        clean = labels.limit(0).select("doc_id", F.lit(1).alias("clean"))
-    return fit(docs, labels, label), fit(docs, clean, "clean")
+        clean = labels.limit(0).select("doc_id", F.lit(1).alias("y"))
+    return fit(docs, labels.select("doc_id", F.col(label).alias("y"))), fit(docs, clean)
 
 
 def scorer(model: CoTrained, clean: CoTrained):
@@ -341,6 +374,7 @@ def scorer(model: CoTrained, clean: CoTrained):
         if _WEIGHTS is None or _WEIGHTS[0] != key:
             _WEIGHTS = (key, Weights(), Hashes())
         known, hashes = _WEIGHTS[1:]
+        form = np.column_stack([m.meta.w[_META + 2 :] for m in both])
         meta: dict[tuple, tuple[float, float]] = {}
         text_raw, meta_raw = np.zeros((len(text), 2)), np.zeros((len(text), 2))
         start = np.array([m.text.b for m in both])
@@ -355,7 +389,7 @@ def scorer(model: CoTrained, clean: CoTrained):
             if k not in meta:
                 row = meta_row(*k)
                 meta[k] = tuple(float(m.meta.raw(row)) for m in both)
-            meta_raw[i] = meta[k]
+            meta_raw[i] = meta[k] + np.array(layout(text.iloc[i])) @ form
         (a, b), (c, d) = ((m.text.slope * text_raw[:, j] + m.text.shift, m.meta.slope * meta_raw[:, j] + m.meta.shift) for j, m in enumerate(both))
         cols = _sigmoid(a), _sigmoid(b), model.score(a, b), 1 - clean.score(c, d)
         return pd.DataFrame({f.name: np.round(x, 6) for f, x in zip(_SCORED, cols, strict=True)})
@@ -366,9 +400,9 @@ def scorer(model: CoTrained, clean: CoTrained):
 _WEIGHTS = None
 
 
-def with_scores(docs: DataFrame, model: CoTrained, clean: CoTrained) -> DataFrame:
-    """docs with a struct column quality_view; null text is empty, null source, language or length a value of its own."""
-    return docs.withColumn("quality_view", scorer(model, clean)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
+def with_scores(docs: DataFrame, model: CoTrained, clean: CoTrained, name: str = "quality_view") -> DataFrame:
+    """docs with a struct column of that name; null text is empty, null source, language or length a value of its own."""
+    return docs.withColumn(name, scorer(model, clean)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
 
 
 def _accepted(view: str, accept: float):
@@ -390,5 +424,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, accept: float = 0.5, lab
 def keep_good(docs: DataFrame, labels: DataFrame, accept: float = 0.5, label: str = "quality") -> DataFrame:
     """The documents that the classifier accepts, in their own columns."""
     models = fit_both(docs.select("doc_id", "text", "source", "lang", "n_chars"), labels, label)
-    marked = docs.withColumn("__score", scorer(*models)(text_of(), "source", "lang", F.col("n_chars").cast("double")))
-    return marked.where(_accepted("__score", accept)).drop("__score")
+    name = free_name(docs.columns, "judged")
+    return with_scores(docs, *models, name).where(_accepted(name, accept)).drop(name)

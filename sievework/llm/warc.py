@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ddl, stage, text_of
+from .base import ddl, first_by_hash, stage, text_of
 
 #: Fixed values of the formats: the skippable frame that carries a dictionary, Zstandard's own frame and dictionary.
 SKIPPABLE = 0x184D2A5D
@@ -129,17 +129,20 @@ def write_archives(pages: DataFrame, min_revisit: int = 1000, archive_bytes: int
         F.when(revisit, F.col("leader")).alias("refers_to"),
         F.when(revisit, F.lit("")).otherwise(F.col("html")).alias("html"),
     )
-    # only ids are sorted; the pages that they name are then read
-    chosen = pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_rows)
-    chosen = F.broadcast(chosen.select(F.col("page_id").alias("c_id")).distinct())  # sample_rows ids at most
-    picked = full.join(chosen, full.page_id == F.col("c_id"), "left_semi")
-    samples, room = [], sample_bytes
-    for r in picked.select("page_id", "url", F.substring("html", 1, sample_bytes // 64).alias("html")).toLocalIterator():
-        body = r.html.encode()
-        samples.append(record_bytes(r.page_id, r.url, body, "response", hashlib.sha1(body).hexdigest(), None, len(body)))
-        room -= len(samples[-1])
-        if room <= 0:
-            break
+    # ids and sizes first, as many as the dictionary has room for; only the pages that they name are then read, whole
+    sized = full.where("page_id is not null").groupBy(F.col("page_id").alias("c_id")).agg(F.max(F.octet_length("html")).cast("long").alias("c_size")).where(F.col("c_size") <= sample_bytes)
+    chosen, room = [], sample_bytes
+    for r in first_by_hash(sized, "c_id", sample_rows).collect():
+        if r.c_size <= room:
+            chosen.append((r.c_id,))
+            room -= r.c_size
+    samples = []
+    if chosen:
+        ids = pages.sparkSession.createDataFrame(chosen, "c_id long")
+        picked = full.join(F.broadcast(ids), full["page_id"] == ids["c_id"]).select("page_id", full["url"], "html")  # sample_rows ids at most
+        for r in sorted(picked.collect(), key=lambda r: (r.page_id, r.url or "", r.html)):
+            body = r.html.encode()
+            samples.append(record_bytes(r.page_id, r.url, body, "response", hashlib.sha1(body).hexdigest(), None, len(body)))
     dictionary = train_dictionary(samples)
     head = archive_head(dictionary)
 
