@@ -208,9 +208,10 @@ def near_copies(docs: DataFrame, size: int = 3, percent: int = 90, chunk: int =
     """(doc_id, n_shingles, component_id) of every document: component_id is the smallest doc_id that links
     reach, a link being 100 * intersection >= percent * union of two sets of distinct `size`-word shingles.
 
-    1. Each set gives pigeonhole keys (see Blocks); documents that share one are chained to its smallest.
-       Connected, these give clusters that no link leaves.
-    2. In each cluster, one document for each distinct set is compared: an R-tree over vectors of GROUPS
+    1. Documents of equal sets are one from here on, by the smallest doc_id: a large group of copies costs one row.
+       Each set gives pigeonhole keys (see Blocks); sets that share one are chained to the smallest. Connected,
+       these give clusters that no link leaves.
+    2. In each cluster the sets are compared: an R-tree over vectors of GROUPS
        counts bounds the overlap, and pairs that survive are verified on the sets. Pairs that are already
        connected are passed over, so a large group of near copies costs no quadratic output. A cluster of
        more than `chunk` sets is dealt to tasks by pairs of chunks, each with two chunks at most.
@@ -220,15 +221,15 @@ def near_copies(docs: DataFrame, size: int = 3, percent: int = 90, chunk: int =
     Rows that repeat a doc_id are one document; it links if one of its rows does. No rows: none.
     """
     keyed = stage(_keyed(docs, size, percent), "shingle-keys")
-    each = keyed.where("doc_id is not null").select("doc_id", F.explode("keys").alias("key"))
-    least = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
-    chains = each.select("doc_id", least.alias("head")).where("doc_id <> head").distinct()
-    clusters = components(chains, "doc_id", "head").select(F.col("node").alias("c_id"), F.col("component").alias("cluster"))
-    slim = keyed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "sig_a", "sig_b")
-    members = stage(slim.join(clusters, slim.doc_id == clusters.c_id).drop("c_id"), "cluster-members")
-    sets = members.groupBy("cluster", "sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    many = sets.groupBy(F.col("cluster").alias("m_cluster")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    reps = stage(sets.join(many, sets.cluster == many.m_cluster).select("cluster", "rep", "sig_a", "sig_b", "m"), "cluster-sets")
+    same = ["sig_a", "sig_b", "n_shingles"]
+    slim = keyed.where("n_shingles > 0 and doc_id is not null").select("doc_id", *same)
+    sets = slim.groupBy(*same).agg(F.min("doc_id").alias("rep"))  # equal sets are one, before any key is dealt out
+    heads = keyed.join(sets, [*same], "inner").where("doc_id = rep").select("rep", F.explode("keys").alias("key"))
+    least = F.first("rep").over(Window.partitionBy("key").orderBy("rep"))
+    chains = heads.select("rep", least.alias("head")).where("rep <> head").distinct()
+    clusters = stage(components(chains, "rep", "head").select(F.col("node").alias("c_id"), F.col("component").alias("cluster")), "clusters")
+    many = clusters.groupBy(F.col("cluster").alias("m_cluster")).agg(F.count(F.lit(1)).alias("m"))
+    reps = stage(clusters.join(many, clusters.cluster == many.m_cluster).select("cluster", F.col("c_id").alias("rep"), "m"), "cluster-sets")
     wanted = docs.sparkSession.sparkContext.broadcast(_id_filter(reps.select(F.col("rep").alias("s_id"))))  # 1 MB
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,17 +272,19 @@ def near_copies(docs: DataFrame, size: int = 3, percent: int = 90, chunk: int =
 
     grouped = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "rep")
     links = grouped.mapInArrow(link, ddl(_LINKS))
+    placed = stage(slim.join(sets, same).select("doc_id", "rep").distinct(), "set-members")
+    # rows of one doc_id that hold several sets are one document: their sets link
+    several = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a <> top").select(F.col("doc_id").alias("v_id"), "a")
+    links = stage(links, "set-links").unionByName(placed.join(several, placed.doc_id == several.v_id).select("a", F.col("rep").alias("b")))
     joined = components(links)
-    groups = members.groupBy("cluster", "sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    groups = groups.join(joined, groups.rep == joined.node, "left")
-    groups = groups.select("cluster", "sig_a", "sig_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    placed = members.join(groups, ["cluster", "sig_a", "sig_b", "n_shingles"]).groupBy(F.col("doc_id").alias("p_id")).agg(F.min("component").alias("component"))
+    found = placed.join(joined, placed.rep == joined.node, "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
+    found = found.groupBy(F.col("doc_id").alias("p_id")).agg(F.min("component").alias("component"))
     final = keyed.select("doc_id", "n_shingles")
-    return final.join(placed, final.doc_id == placed.p_id, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return final.join(found, final.doc_id == found.p_id, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """docs without the documents that links connect to one of smaller doc_id; columns stay."""
     found = near_copies(docs, size, percent)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

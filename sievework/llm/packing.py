@@ -222,8 +222,8 @@ def pack(
     or a sequence ends. Every sequence is full; what remains at the end is cut into sequences whose
     lengths are powers of two, so nothing is padded.
 
-    The max_queues - 1 largest sources have queues of their own; further ones share one queue, source after
-    source, so the schedule has a fixed size. Ids are computed once and written; prefix sums run over
+    Weighted sources, then the largest, max_queues - 1 in all, have queues of their own; further ones share one queue,
+    source after source, whose target is their share of all ids, so the schedule has a fixed size. Ids are computed once and written; prefix sums run over
     (part, source) totals, and each piece follows from its document's place in its queue in closed form,
     so no task holds a queue, hot or not.
 
@@ -235,7 +235,11 @@ def pack(
     toks = stage(tokenize(docs, json_path, ranks_path), "tokens")
     totals = toks.groupBy("source", "part").agg(F.sum("n").alias("n"))
     by_source = totals.groupBy("source").agg(F.sum("n").alias("n"))
-    top = by_source.orderBy(F.desc("n"), F.col("source").asc_nulls_first()).limit(max_queues - 1).collect()
+    weights = weights or {}
+    if len(weights) > max_queues - 1:
+        raise ValueError(f"{len(weights)} weighted sources need as many queues; max_queues is {max_queues}")
+    named = F.coalesce(F.col("source").isin([w for w in weights if w is not None]), F.lit(None in weights)) if weights else F.lit(False)
+    top = by_source.orderBy(F.desc(named), F.desc("n"), F.col("source").asc_nulls_first()).limit(max_queues - 1).collect()
     own = {r["source"]: i for i, r in enumerate(top)}
     sizes = {own[r["source"]]: r["n"] for r in top}
     everything = by_source.agg(F.sum("n")).first()[0] or 0
@@ -243,7 +247,7 @@ def pack(
     if everything > sum(sizes.values()):
         sizes[rest] = everything - sum(sizes.values())
     target = {q: Fraction(n, max(everything, 1)) for q, n in sizes.items()}
-    for source, w in (weights or {}).items():
+    for source, w in weights.items():
         if source in own:
             target[own[source]] = Fraction(w).limit_denominator(10**6)
     layout = Layout(sizes, target, length * window_sequences, length)

@@ -39,21 +39,23 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _frequent_codes(df: DataFrame, column: str, levels: int):
-    """Codes 1.. for the levels - 1 most frequent values in value order; others and null: 0."""
+def _codes(df: DataFrame, column: str, levels: int):
+    """A level for each value: null 0, the levels - 1 most frequent values levels of their own in value order, every
+    other value the level of its hash among them, so that its rows stay together whatever their number."""
     top = df.groupBy(column).count().where(F.col(column).isNotNull()).orderBy(F.desc("count"), column).limit(levels - 1)
     values = sorted(r[0] for r in top.collect())  # at most levels - 1 rows
     if not values:
         return F.lit(0)
     pairs = [F.lit(x) for k, v in enumerate(values) for x in (v, k + 1)]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(column)), F.lit(0))
+    other = F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(column), F.lit(levels - 1)).cast("int") + 1)
+    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(column)), other)
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, bits: int = 5, run_rows: int = 20_000) -> DataFrame:
     """Deal documents into equal shards along a Hilbert curve over (source, lang, size).
 
     Each dimension is quantised to 2**bits levels (sources and languages by a dictionary of the most
-    frequent values, sizes by approximate quantiles); rows are ordered by curve index, then by a hashed
+    frequent values and a hash of the others, sizes by approximate quantiles); rows are ordered by curve index, then by a hashed
     sub-run, then doc_id, and the order is cut into `shards` runs whose counts differ by one at most.
 
     The global rank needs no single sorted partition: curve cells are bounded (2**(3 * bits)) and a cell
@@ -86,12 +88,12 @@ def shard_documents(docs: DataFrame, shards: int = 24, bits: int = 5, run_rows:
         "doc_id",
         "size",
         "text_crc32",
-        curve(_frequent_codes(slim, "source", levels), _frequent_codes(slim, "lang", levels), size_code).alias("curve"),
+        curve(_codes(slim, "source", levels), _codes(slim, "lang", levels), size_code).alias("curve"),
     )
     cells = coded.groupBy("curve").agg(F.count(F.lit(1)).alias("cell_rows"))
     runs = cells.select("curve", F.ceil(F.col("cell_rows") / run_rows).alias("runs"))
     coded = stage(
-        coded.join(runs, "curve").withColumn("run", F.pmod(F.xxhash64("doc_id"), F.col("runs"))).drop("runs"),
+        coded.join(runs, "curve").withColumn("run", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.col("runs"))).drop("runs"),
         "shard-cells",
     )
     counts = coded.groupBy("curve", "run").agg(F.count(F.lit(1)).alias("n"))

@@ -371,3 +371,19 @@ def test_odd_rows_go_through(spark):
     assert packing.pack(docs).select("doc_id").distinct().count() == 8
     search.search(docs, docs).collect()
     base.release(spark)
+
+
+def test_rows_of_one_id_link_their_sets(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    rows = [(3, a), (4, b), (5, a), (5, b), (6, "other text of its own"), (7, f"{b} tail"), (8, None)]
+    got = {(r.doc_id, r.component_id) for r in ngram_join.near_copies(docs_of(spark, rows)).collect()}
+    assert got == {(3, 3), (4, 3), (5, 3), (6, 6), (7, 3), (8, 8)}
+
+
+def test_weighted_sources_have_queues_of_their_own(spark):
+    docs = spark.createDataFrame([(i, "alpha beta gamma " * (2 if i < 5 else 400), f"s{min(i, 8)}") for i in range(12)], "doc_id long, text string, source string")
+    out = packing.pack(docs, weights={"s1": 0.5}, max_queues=3).select("doc_id", "queue").distinct().collect()
+    assert len({r.queue for r in out}) == 3 and sum(r.queue == next(x.queue for x in out if x.doc_id == 1) for r in out) == 1
+    with pytest.raises(ValueError, match="max_queues"):
+        packing.pack(docs, weights={f"s{i}": 0.1 for i in range(5)}, max_queues=3)
