@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 from collections.abc import Iterable, Iterator
@@ -90,7 +91,7 @@ class Tagger:
     trans: np.ndarray
 
     @classmethod
-    def fresh(cls, seed: int, width: int = 12, hidden: int = 16) -> Tagger:
+    def fresh(cls, seed: int, width: int = 12, hidden: int = 24) -> Tagger:
         g = np.random.default_rng(seed)
         w = lambda *s: (g.standard_normal(s) * 0.2).astype(np.float32)
         t = cls(w(SYMBOLS, width), w(width + hidden + 1, 4 * hidden), w(width + hidden + 1, 4 * hidden), w(2 * hidden + 1, TAGS), w(TAGS, TAGS) * 0.1)
@@ -207,7 +208,7 @@ class Tagger:
         return tags
 
 
-def train(samples: list[tuple[str, list[tuple[int, int, int]]]], window: int = 64, epochs: int = 6, batch: int = 24, seed: int = 7) -> Tagger:
+def train(samples: list[tuple[str, list[tuple[int, int, int]]]], window: int = 64, epochs: int = 8, batch: int = 24, seed: int = 7) -> Tagger:
     """Fit a tagger to labelled spans (text, [(kind, start, end)]) by Adam on the CRF likelihood."""
     ids, tags = [], []
     for text, spans in samples:
@@ -237,7 +238,7 @@ def train(samples: list[tuple[str, list[tuple[int, int, int]]]], window: int = 6
     return model
 
 
-def labelled_samples(words: list[str], n: int = 700, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
+def labelled_samples(words: list[str], n: int = 1800, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
     """Labelled spans in running text: personal data in common spellings (also ones that the base patterns miss)
     and numbers that are none (years, sizes, versions, long runs), among the given words."""
     rng = random.Random(seed)
@@ -397,18 +398,29 @@ def joined(spans: Iterable[tuple[int, int, int]]) -> str:
 
 def fit(docs: DataFrame, sample_rows: int = 200) -> Tagger:
     """A tagger for a corpus: labelled spans set among the words of sample_rows texts at most, by hash of
-    doc_id, plus the base spans of those texts with their surroundings. The same corpus gives the same tagger."""
+    doc_id, plus the base spans of those whole texts with their surroundings. The same corpus gives the same tagger.
+    It is fitted in one task of an executor: texts don't come to the driver."""
     ids = first_by_hash(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", sample_rows).select(F.col("doc_id").alias("p_id"))
-    picked = docs.join(F.broadcast(ids), docs["doc_id"] == ids["p_id"]).select("p_id", text_of().alias("text")).collect()  # sample_rows ids at most
-    picked = sorted(picked, key=lambda r: (r.p_id, r.text))
-    words = sorted({w for r in picked for w in r.text.split() if len(w) < 20})[:20_000]
+    picked = docs.join(F.broadcast(ids), docs["doc_id"] == ids["p_id"]).select("p_id", text_of().alias("p_text"))  # sample_rows ids at most
+
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(training_samples([t for _, t in rows])))], pa.binary())], names=["model"])
+
+    made = picked.coalesce(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(made.model) if made else train(training_samples([]))
+
+
+def training_samples(texts: list[str]) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """Labelled spans set among the words of some texts, and base spans of these with their surroundings, some ten a text."""
+    words = sorted({w for t in texts for w in t.split() if len(w) < 20})[:20_000]
     samples = labelled_samples(words)
-    for r in picked:
-        for kind, a, b in base_spans(r.text):
-            lo, hi = max(a - 20, 0), min(b + 20, len(r.text))
-            inside = [(k, x - lo, y - lo) for k, x, y in base_spans(r.text) if lo <= x and y <= hi]
-            samples.append((r.text[lo:hi], inside))
-    return train(samples)
+    for text in texts:
+        base = base_spans(text)
+        for _, a, b in base[:: max(1, len(base) // 10)]:
+            lo, hi = max(a - 20, 0), min(b + 20, len(text))
+            samples.append((text[lo:hi], [(k, x - lo, y - lo) for k, x, y in base if lo <= x and y <= hi]))
+    return samples
 
 
 def find_personal_data(docs: DataFrame, model: Tagger | None = None) -> DataFrame:

@@ -218,7 +218,7 @@ def test_wrapper_drops_what_a_host_repeats(spark):
 
 def test_pii_base_and_tagger(spark):
     words = WORDS * 3
-    model = pii.train(pii.labelled_samples(words))
+    model = pii.fit(docs_of(spark, [(1, " ".join(words)), (2, None), (None, "x")]))
     text = "alpha beta jo.hn@mail.example.com and 10.0.0.1 or 1.2.3.999 card 4111 1111 1111 1111 call +49 (30) 1234-567 x@y a@b.c@d.e 1.2.3.4.5.6.7.8"
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     want = [(0, m.start(), m.end()) for m in email.finditer(text)]
@@ -230,6 +230,13 @@ def test_pii_base_and_tagger(spark):
     found = pii.model_spans(model, [t for t, _ in held])
     right = sum(len(set(s) & set(f)) for (_, s), f in zip(held, found, strict=True))
     assert right >= 0.8 * sum(map(len, found)) and right >= 0.35 * sum(len(s) for _, s in held)
+    for kind, least in enumerate((0.9, 0.9, 0.9, 0.75)):
+        want_k = sum(s[0] == kind for _, sp in held for s in sp)
+        got_k = sum(len({s for s in sp if s[0] == kind} & set(f)) for (_, sp), f in zip(held, found, strict=True))
+        assert got_k >= least * want_k, (pii.KINDS[kind], got_k, want_k)
+    extra = "alpha beta (415) 555-0172 gamma delta, eps: 212-555-0198 zeta"  # no base phone: neither begins with +
+    assert {k for k, _, _ in pii.find_spans(model, [extra])[0][1]} == {3}
+    assert pii.find_personal_data(docs_of(spark, [(1, extra)]), model).first().n_added >= 1
     long = "word " * 40_000 + text
     assert [(k, a - 200_000, b - 200_000) for k, a, b in pii.find_spans(model, [long])[0][0]] == pii.base_spans(text)
     out = pii.find_personal_data(docs_of(spark, [*ODD, (50, text)]), model).collect()
