@@ -80,12 +80,12 @@ def rec_gate(spark, sf_dir):
 
 
 def rec_variants(spark, sf_dir):
-    df = variants.positive_variants(_records(spark, sf_dir))
+    df = variants.positive_variants(_records(spark, sf_dir).persist())  # five branches read it
     return df.select(_pid(), F.size("components").alias("n_components"), F.size("instructions").alias("n_steps"), F.size("relationships").alias("n_edges"), F.col("sourcing.cost_summary.total_usd").alias("total_usd"))
 
 
 def rec_negatives(spark, sf_dir):
-    df = variants.negative_variants(_records(spark, sf_dir))
+    df = variants.negative_variants(_records(spark, sf_dir).persist())  # four branches read it
     return df.select(_pid(), F.element_at("validation.issues", 1)["message"].alias("message"))
 
 
@@ -160,21 +160,21 @@ ORACLES: dict[str, str] = {
         count(CASE WHEN size % 9 = 0 THEN 1 END) AS n_settings, sum(""" + _MONEY.format(f=1) + """) AS total_usd, count(CASE WHEN d > 0 THEN 1 END) AS priced, count(CASE WHEN size % 2 = 0 THEN 1 END) AS n_urls,
         CASE WHEN project_id IN (SELECT project_id FROM issues WHERE severity = 'error') THEN 0.4 WHEN project_id IN (SELECT project_id FROM issues) THEN 0.7 ELSE 1.0 END::DOUBLE AS confidence FROM c GROUP BY project_id""",
     "rec_rules": _BASE + """SELECT project_id, 'missing_electrical_connections' AS code, 'error' AS severity, 1 AS n FROM c GROUP BY project_id HAVING count(CASE WHEN category = 'electrical' THEN 1 END) >= 2 AND project_id NOT IN (SELECT project_id FROM e WHERE relation = 'connects_to')
-        UNION ALL SELECT project_id, 'missing_print_settings', 'warn', count(*) FROM c WHERE type = '3d_printed' AND (project_id, spec) NOT IN (SELECT project_id, known FROM c WHERE size % 9 = 0) GROUP BY 1
+        UNION ALL SELECT project_id, 'missing_print_settings', 'warn', count(*) FROM c WHERE type = '3d_printed' AND NOT EXISTS (SELECT 1 FROM c y WHERE y.size % 9 = 0 AND y.project_id = c.project_id AND y.known = c.spec) GROUP BY 1
         UNION ALL SELECT project_id, 'duplicate_display_name', 'warn', count(*) FROM (SELECT project_id, name FROM c GROUP BY 1, 2 HAVING count(*) > 1) x GROUP BY 1""",
     "rec_gate": _BASE + "SELECT project_id, coalesce(min_by('step ''' || step_id || ''' has empty/missing body', no) FILTER (WHERE detail = ''), 'ok') AS reason FROM s GROUP BY project_id",
     "rec_variants": _BASE + """, drops AS (SELECT *, (type = 'misc' OR (type = 'fastener' AND row_number() OVER (PARTITION BY o, type ORDER BY pos) > 4)) AS gone FROM c),
         dead AS (SELECT DISTINCT project_id, spec FROM drops WHERE gone),
         axes AS (SELECT 'compact' AS axis, 0.85 AS f UNION ALL SELECT 'standard_size', 1.15 UNION ALL SELECT 'low_cost', 0.65 UNION ALL SELECT 'premium_material', 1.4),
         steps AS (SELECT project_id, count(*) AS n_steps FROM s GROUP BY 1), edges AS (SELECT project_id, count(*) AS n_edges FROM e GROUP BY 1),
-        steps2 AS (SELECT project_id, count(*) AS n_steps FROM s WHERE (project_id, known) NOT IN (SELECT project_id, spec FROM dead) GROUP BY 1),
-        edges2 AS (SELECT project_id, count(*) AS n_edges FROM e WHERE (project_id, source) NOT IN (SELECT project_id, spec FROM dead) AND (project_id, target) NOT IN (SELECT project_id, spec FROM dead) GROUP BY 1)
+        steps2 AS (SELECT project_id, count(*) AS n_steps FROM s WHERE NOT EXISTS (SELECT 1 FROM dead x WHERE x.project_id = s.project_id AND x.spec = s.known) GROUP BY 1),
+        edges2 AS (SELECT project_id, count(*) AS n_edges FROM e WHERE NOT EXISTS (SELECT 1 FROM dead x WHERE x.project_id = e.project_id AND x.spec = e.source) AND NOT EXISTS (SELECT 1 FROM dead x WHERE x.project_id = e.project_id AND x.spec = e.target) GROUP BY 1)
         SELECT project_id || '__pos_' || axis AS project_id, count(*) AS n_components, any_value(n_steps) AS n_steps, coalesce(any_value(n_edges), 0) AS n_edges,
                sum(CASE axis WHEN 'compact' THEN """ + _MONEY.format(f=0.85) + " WHEN 'standard_size' THEN " + _MONEY.format(f=1.15) + " WHEN 'low_cost' THEN " + _MONEY.format(f=0.65) + " ELSE " + _MONEY.format(f=1.4) + """ END) AS total_usd
         FROM c JOIN steps USING (project_id) LEFT JOIN edges USING (project_id), axes GROUP BY project_id, axis
         UNION ALL SELECT x.project_id || '__pos_accessory_light', count(CASE WHEN NOT gone THEN 1 END), coalesce(any_value(n_steps), 0), coalesce(any_value(n_edges), 0),
-               coalesce(sum(CASE WHEN (x.project_id, known) NOT IN (SELECT project_id, spec FROM dead) THEN """ + _MONEY.format(f=1) + """ END), 0)
-        FROM drops x LEFT JOIN steps2 USING (project_id) LEFT JOIN edges2 USING (project_id) GROUP BY x.project_id HAVING bool_or(gone)""",
+               coalesce(sum(CASE WHEN y.spec IS NULL THEN """ + _MONEY.format(f=1) + """ END), 0)
+        FROM drops x LEFT JOIN dead y ON y.project_id = x.project_id AND y.spec = x.known LEFT JOIN steps2 ON steps2.project_id = x.project_id LEFT JOIN edges2 ON edges2.project_id = x.project_id GROUP BY x.project_id HAVING bool_or(gone)""",
     "rec_negatives": _BASE + """SELECT project_id || '__neg_dangling_ref' AS project_id, 'relationships[0].target ''phantom_part_xyz'' not in components' AS message FROM e GROUP BY project_id
         UNION ALL SELECT project_id || '__neg_invalid_relation', 'relationships[0].relation ''stuck_to'' not in controlled vocab' FROM e GROUP BY project_id
         UNION ALL SELECT project_id || '__neg_invalid_component_type', 'component ''' || spec || ''': type ''gadget'' not in controlled vocab' FROM c WHERE pos = 0
@@ -190,5 +190,5 @@ ORACLES: dict[str, str] = {
         SELECT c.project_id, count(*) + coalesce(len(any_value(ms)), 0) AS n_components, count(*) + coalesce(len(any_value(ms)), 0) + count(DISTINCT spec) - count(DISTINCT CASE WHEN spec = known THEN spec END) AS n_items,
                coalesce(array_to_string(list_transform(any_value(ms), lambda x: 'add placeholder component ''' || x || ''''), '|'), '') AS actions
         FROM c LEFT JOIN plain ON plain.project_id = c.project_id GROUP BY c.project_id""",
-    "rec_scores": _BASE + "SELECT project_id, TRUE AS parsed, TRUE AS valid, (SELECT count(DISTINCT (source, relation, target)) FROM e WHERE e.project_id = p.project_id) AS n_atoms FROM (SELECT DISTINCT project_id FROM c) p",
+    "rec_scores": _BASE + "SELECT p.project_id, TRUE AS parsed, TRUE AS valid, coalesce(k.n, 0) AS n_atoms FROM (SELECT DISTINCT project_id FROM c) p LEFT JOIN (SELECT project_id, count(DISTINCT (source, relation, target)) AS n FROM e GROUP BY 1) k ON k.project_id = p.project_id",
 }
