@@ -3,7 +3,7 @@ templates are joined by hash, and slots must be filled consistently. DataFrame f
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import stage, text_of
@@ -61,21 +61,17 @@ def benchmark_windows(benchmark: DataFrame, width: int = 8, shortest: int = 5, l
     items = items.withColumn("n", F.size("t")).withColumn("width", F.least(F.col("n"), F.lit(width)))
     slot = F.expr(f"transform(t, w -> CASE WHEN w rlike '[{NAME}{NUMBER}{UNIT}]' THEN 1 ELSE 0 END)")
     items = items.withColumn("slot", slot).withColumn("n_slots", F.expr("cast(aggregate(slot, 0, (a, x) -> a + x) as long)"))
-    hashed = items.withColumn("h", F.transform("t", lambda w: F.xxhash64(w)))
-    open_words = F.expr("width - aggregate(slice(slot, ipos + 1, width), 0, (a, x) -> a + x)")
-    made = [hashed.where((F.col("width") == k) & (F.col("n") >= shortest)).select("item_id", "n_slots", "slot", F.lit(k).alias("width"), F.posexplode(_windows("h", k, False)).alias("ipos", "key")) for k in range(min(shortest, width), width + 1)]
-    typed = made[0]
-    for part in made[1:]:
-        typed = typed.unionByName(part)
-    typed = typed.where(open_words >= literal).select("item_id", "ipos", "width", F.lit(False).alias("exact"), "key", "n_slots")
-    rest = items.join(typed.select(F.col("item_id").alias("t_id")).distinct(), F.col("item_id") == F.col("t_id"), "left_anti")
-    rest = rest.withColumn("h", F.transform("r", lambda w: F.xxhash64(w)))
-    out = typed
-    for k in range(1, width + 1):
-        part = rest.where(F.col("width") == k).select("item_id", F.lit(k).alias("width"), F.posexplode(_windows("h", k, True)).alias("ipos", "key"))
-        out = out.unionByName(part.select("item_id", "ipos", "width", F.lit(True).alias("exact"), "key", F.lit(0).cast("long").alias("n_slots")))
-    counts = out.groupBy(F.col("item_id").alias("c_item")).agg(F.count(F.lit(1)).alias("n_windows"))
-    return out.join(counts, out.item_id == counts.c_item).drop("c_item")
+    # all windows of an item in one array: a plan with a branch for each width took over 1 GB of the driver's memory
+    at = "sequence(0, n - width)"
+    key = lambda h, w: f"xxhash64({w}, slice({h}, i + 1, width))"
+    said = f"filter({at}, i -> n >= {shortest} AND width - aggregate(slice(slot, i + 1, width), 0, (a, x) -> a + x) >= {literal})"
+    items = items.withColumn("h", F.transform("t", lambda w: F.xxhash64(w))).withColumn("rh", F.transform("r", lambda w: F.xxhash64(w)))
+    items = items.withColumn("said", F.expr(said)).withColumn("exact", F.max(F.size("said")).over(Window.partitionBy("item_id")) == 0)
+    made = f"CASE WHEN exact THEN transform({at}, i -> struct(i AS ipos, {key('rh', '-width')} AS key)) ELSE transform(said, i -> struct(i AS ipos, {key('h', 'width')} AS key)) END"
+    items = items.withColumn("made", F.expr(made)).withColumn("n_windows", F.sum(F.size("made")).over(Window.partitionBy("item_id")))
+    items = items.withColumn("n_slots", F.when(F.col("exact"), F.lit(0).cast("long")).otherwise(F.col("n_slots")))
+    out = items.select("item_id", "width", "exact", "n_windows", "n_slots", F.explode("made").alias("w"))
+    return out.select("item_id", "w.ipos", "width", "exact", "w.key", "n_slots", "n_windows")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:

@@ -41,3 +41,13 @@ def test_documents_without_an_id_share_a_verdict(spark):
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
     assert not any(r.contaminated for r in decontaminate.flag_documents(docs, bench.limit(0)).collect())
     assert decontaminate.flag_documents(docs.limit(0), bench).count() == 0
+
+
+def test_benchmark_windows_make_a_small_plan(spark):
+    """One branch for all widths, with the windows of items that repeat an id counted together."""
+    item = "name the river that runs through the old town of the north and its length in miles"
+    bench = spark.createDataFrame([(1, item), (1, "what is the capital?"), (2, "what is the capital?")], "item_id long, text string")
+    made = decontaminate.benchmark_windows(bench)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+    assert sorted({(r.item_id, r.exact, r.n_windows) for r in made.collect()}) == [(1, False, 10), (2, True, 1)]
+    check(spark, [(1, item), (2, "he asked what is the capital of it"), (3, None)], [(1, item), (1, "what is the capital?"), (2, "what is the capital?")])
