@@ -74,13 +74,14 @@ def benchmark_windows(benchmark: DataFrame, width: int = 8, shortest: int = 5, l
     return out.select("item_id", "w.ipos", "width", "exact", "w.key", "n_slots", "n_windows")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.5, few: int = 1_000_000) -> DataFrame:
     """(doc_id, item_id, hits): items of which a document holds at least `share` of the windows, each counted once
     however often the document repeats it.
 
     Windows join by hash. What matches is grouped by document, item and offset between the two; where the
     item has slots, each of its values must stand for one value only in the document at that offset, or
-    the offset does not count. Every row of docs is read whole; only hits leave the join.
+    the offset does not count. Every row of docs is read whole; only hits leave the join. The ids of up to `few`
+    documents with slots to compare are sent to where texts are read, so that other texts are not shuffled.
     """
     keys = stage(benchmark_windows(benchmark, width), "benchmark-windows")
     sorts = sorted(tuple(r) for r in keys.select("exact", "width").distinct().collect()) or [(False, width)]  # at most 2 * width values
@@ -94,7 +95,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float
     hits = stage(hits.groupBy("doc_id", "item_id", "shift", "ipos").agg(*[F.first(c).alias(c) for c in ("width", "n_windows", "n_slots")]), "template-hits")
     slotted = hits.where("n_slots > 0").groupBy("doc_id", "item_id", "shift").agg(F.min("ipos").alias("lo"), F.max(F.col("ipos") + F.col("width")).alias("hi"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    texts = docs.select("doc_id", "text").join(slotted.select(F.col("doc_id").alias("k_id")).distinct(), same("doc_id", "k_id"), "left_semi")
+    held = stage(slotted.select(F.col("doc_id").alias("k_id")).distinct(), "template-documents")
+    if held.count() <= few:
+        held = F.broadcast(held)
+    texts = docs.select("doc_id", "text").join(held, same("doc_id", "k_id"), "left_semi")
     raw = lambda df, key, a, b: df.select(F.col(key).alias(a), F.split(F.lower(flat(text_of())), " ").alias(b))
     near = slotted.join(raw(texts, "doc_id", "d_id", "dw"), same("doc_id", "d_id"))
     items = raw(benchmark, "item_id", "i_id", "iw").join(

@@ -51,3 +51,11 @@ def test_benchmark_windows_make_a_small_plan(spark):
     assert made._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
     assert sorted({(r.item_id, r.exact, r.n_windows) for r in made.collect()}) == [(1, False, 10), (2, True, 1)]
     check(spark, [(1, item), (2, "he asked what is the capital of it"), (3, None)], [(1, item), (1, "what is the capital?"), (2, "what is the capital?")])
+
+
+def test_texts_are_compared_whether_ids_are_sent_or_shuffled(spark):
+    item = "On Monday Anna paid 30 dollars for 4 books in the small shop behind the station"
+    rows = [(1, item), (2, item.replace("30", "75")), (3, "Anna " * 40), (None, item)]
+    docs, bench = docs_of(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")
+    sent, shuffled = (sorted(map(tuple, decontaminate.matches(docs, bench, few=n).collect()), key=str) for n in (10, 0))
+    assert sent == shuffled and len(sent) == 3
