@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
@@ -344,13 +345,42 @@ def container(items: list[list]) -> str:
     return max(good, key=lambda p: (len(p), p), default="")
 
 
-def prune(items: list[list], pages: int, most: int = 2000) -> list[list]:
-    """A wrapper of more than `most` items loses options that fewer than one in fifty of its pages showed: what a
-    large host has once or twice says nothing about its other pages, and the wrapper stays of bounded size."""
+def _filled(slot: str, items: list[list]) -> Iterator[tuple]:
+    """(slot, constant or None, path, chars, linked, pages) of the text slots of some items."""
+    for k, x in enumerate(slots(items)):
+        yield f"{slot}/{k}", *x[1:6]
+
+
+def _named(option: list) -> str:
+    return hashlib.sha1(_key(option).encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def prune(items: list[list], pages: int, most: int = 2000, spilled: list[tuple] | None = None) -> list[list]:
+    """A wrapper of more than `most` items gives up options that fewer than one in fifty of its pages showed, and stays
+    of bounded size. What their slots held goes to `spilled`, named by the option, and is added up outside."""
     if sum(1 for _ in _flat(items)) <= most:
         return items
     seen = lambda x: max((s[5] for s in slots(x[1])), default=0)
-    return [x for x in items if x[0] != "o" or 50 * seen(x) >= pages]
+    out = []
+    for x in items:
+        if x[0] != "o" or 50 * seen(x) >= pages:
+            out.append(x)
+        elif spilled is not None:
+            spilled += _filled(_named(x) + "/0", [x])
+    return out
+
+
+def filled(items: list[list]) -> Iterator[tuple]:
+    """The slots of a wrapper: those of an option named by it and by how many like it stand before, so that the first
+    adds up with what prune() gave up of the same option; others named by their place."""
+    met: Counter[str] = Counter()
+    for i, x in enumerate(items):
+        if x[0] == "o":
+            name = _named(x)
+            yield from _filled(f"{name}/{met[name]}", [x])
+            met[name] += 1
+        else:
+            yield from _filled(f"#{i}", [x])
 
 
 def _flat(items: list[list]) -> Iterator[list]:
@@ -399,19 +429,31 @@ def extract(html: str, wrapper: dict | None = None) -> str:
 
 
 _WRAPPER = pa.schema([("host", pa.string()), ("pages", pa.int64()), ("wrapper", pa.string())])
+_FILLED = pa.schema([("slot", pa.string()), ("const", pa.string()), ("path", pa.string()), ("chars", pa.int64()), ("linked", pa.int64()), ("shown", pa.int64())])
+_PART = pa.schema([*_WRAPPER, *_FILLED])  # a wrapper, or a slot that a wrapper gave up
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
-def _fold_hosts(rows: Iterable[tuple[str, int, list]], state: dict[str, tuple[int, list]]) -> None:
+def _fold_hosts(rows: Iterable[tuple[str, int, list]], state: dict[str, tuple[int, list]], spilled: list[tuple] | None = None) -> None:
+    """Align rows (host, pages, wrapper) into state; (host, slot, ...) of what pruned options held goes to spilled."""
     for host, n, items in rows:
         known = state.get(host)
         if known is not None:
             n, items = known[0] + n, align(known[1], items)
-        state[host] = (n, prune(items, n))
+        gone: list[tuple] = []
+        state[host] = (n, prune(items, n, spilled=gone))
+        if spilled is not None:
+            spilled += [(host, *x) for x in gone]
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-def infer_wrappers(pages: DataFrame, salt: int = 16, held: int = 5_000) -> DataFrame:
-    """(host, pages, wrapper): each host's pages aligned into one wrapper, all of them.
+def infer_wrappers(pages: DataFrame, salt: int = 16, held: int = 5_000) -> tuple[DataFrame, DataFrame]:
+    """(host, pages, wrapper): each host's pages aligned into one wrapper, all of them; and (host, slot, const, path,
+    chars, linked, shown): the slots of the options that prune() took out of them on the way, for their totals.
 
     Alignment folds like a sum, so tasks first align the pages they read (up to `held` hosts at a time) and
     only wrappers are shuffled: those of a hot host meet in `salt` groups, then in one.
@@ -419,31 +461,65 @@ def infer_wrappers(pages: DataFrame, salt: int = 16, held: int = 5_000) -> DataF
 
     def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict[str, tuple[int, list]] = {}
+        spilled: list[tuple] = []
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500).to_pydict()
-                _fold_hosts(((h, 1, page_wrapper(x)) for h, x in zip(rows["host"], rows["html"], strict=True)), state)
+                _fold_hosts(((h, 1, page_wrapper(x)) for h, x in zip(rows["host"], rows["html"], strict=True)), state, spilled)
                 if len(state) > held:
-                    yield dump(state)
-                    state = {}
+                    yield dump(state, spilled)
+                    state, spilled = {}, []
+                elif spilled:
+                    yield dump({}, spilled)
+                    spilled = []
         if state:
-            yield dump(state)
+            yield dump(state, spilled)
 
-    def dump(state):
-        cols = list(state), [v[0] for v in state.values()], [json.dumps(v[1]) for v in state.values()]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _WRAPPER, strict=True)], schema=_WRAPPER)
+    def dump(state, spilled):
+        return _batch([(h, n, json.dumps(w), *[None] * len(_FILLED)) for h, (n, w) in state.items()] + [(x[0], None, None, *x[1:]) for x in spilled], _PART)
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(table: pa.Table) -> pa.Table:
         state: dict[str, tuple[int, list]] = {}
-        for batch in batches:
+        spilled: list[tuple] = []
+        for batch in table.select(["host", "pages", "wrapper"]).to_batches():
             rows = batch.to_pydict()
-            _fold_hosts(((h, n, json.loads(w)) for h, n, w in zip(rows["host"], rows["pages"], rows["wrapper"], strict=True)), state)
-        yield dump(state)
+            _fold_hosts(((h, n, json.loads(w)) for h, n, w in zip(rows["host"], rows["pages"], rows["wrapper"], strict=True)), state, spilled)
+        return pa.Table.from_batches([dump(state, spilled)])
+
+    parts = stage(pages.select("host", "html").mapInArrow(local, ddl(_PART)), "wrapper-parts")
+    salted = parts.where("wrapper is not null").withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salt)))
+    once = stage(salted.groupBy("host", "salt").applyInArrow(join, ddl(_PART)), "wrapper-parts")
+    last = stage(once.where("wrapper is not null").groupBy("host").applyInArrow(join, ddl(_PART)), "wrapper-parts")
+    spilled = parts.unionByName(once).unionByName(last).where("wrapper is null").select("host", *_FILLED.names)
+    return last.where("wrapper is not null").select(*_WRAPPER.names), spilled
 
-    parts = pages.select("host", "html").mapInArrow(local, ddl(_WRAPPER))
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salt)))
-    once = salted.groupBy("host", "salt").applyInArrow(lambda t: pa.Table.from_batches(join(iter(t.select(["host", "pages", "wrapper"]).to_batches()))), ddl(_WRAPPER))
-    return once.groupBy("host").applyInArrow(lambda t: pa.Table.from_batches(join(iter(t.to_batches()))), ddl(_WRAPPER))
+
+def _whole_summaries(wrappers: DataFrame, spilled: DataFrame) -> DataFrame:
+    """(w_host, summary) as by summary(), of the hosts whose wrappers gave up options: the slots of both add up."""
+
+    def left(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pydict()
+            for h, w in zip(rows["host"], rows["wrapper"], strict=True):
+                yield _batch([(h, *x) for x in filled(json.loads(w))], schema)
+
+    schema = pa.schema([("host", pa.string()), *_FILLED])
+    mine = wrappers.join(spilled.select(F.col("host").alias("s_host")).distinct(), F.col("host") == F.col("s_host"), "left_semi")
+    each = spilled.unionByName(mine.select("host", "wrapper").mapInArrow(left, ddl(schema)))
+    one = (F.count("const") == F.count(F.lit(1))) & (F.min("const") == F.max("const"))
+    each = each.groupBy("host", "slot").agg(F.when(one, F.min("const")).alias("const"), F.min("path").alias("path"), F.sum(F.col("chars") - F.col("linked")).alias("n"), F.sum("shown").alias("shown"))
+    each = stage(each, "wrapper-slots")
+    fixed = each.where("const is not null").join(mine.select(F.col("host").alias("m_host"), "pages"), F.col("host") == F.col("m_host")).where("shown >= greatest(2, 0.6D * pages)")
+    fixed = fixed.groupBy(F.col("host").alias("f_host")).agg(F.sort_array(F.collect_set("const")).alias("constants"))
+    steps = "regexp_extract_all(path, '<[^>]*>', 0)"
+    ways = each.where("const is null and not startswith(path, '!')").select("host", "n", F.explode(F.expr(f"transform(sequence(0, size({steps})), k -> array_join(slice({steps}, 1, k), ''))")).alias("way"))
+    ways = ways.groupBy("host", "way").agg(F.sum("n").alias("n"))
+    whole = ways.where("way = ''").select(F.col("host").alias("h_host"), F.col("n").alias("whole"))
+    ways = ways.join(whole, F.col("host") == F.col("h_host")).where(r"whole <> 0 AND n * 10 >= whole * 9 AND NOT way rlike '<(p|li|h1|h2|b)>$'")
+    ways = ways.groupBy(F.col("host").alias("c_host")).agg(F.max(F.struct(F.length("way"), "way"))["way"].alias("container"))
+    out = mine.join(fixed, mine.host == fixed.f_host, "left").join(ways, mine.host == ways.c_host, "left")
+    told = F.struct("pages", F.coalesce("container", F.lit("")).alias("container"), F.coalesce("constants", F.expr("cast(array() as array<string>)")).alias("constants"))
+    return out.select(F.col("host").alias("w_host"), F.to_json(told).alias("summary"))
 
 
 def host_of(url: str = "url"):
@@ -464,7 +540,12 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             out = [json.dumps(summary(json.loads(w), n)) for n, w in zip(rows["pages"], rows["wrapper"], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(rows["host"], pa.string()), pa.array(out, pa.string())], names=["w_host", "summary"])
 
-    wrappers = stage(infer_wrappers(keyed).mapInArrow(summaries, "w_host string, summary string"), "wrappers")
+    inferred, spilled = infer_wrappers(keyed)
+    wrappers = inferred.mapInArrow(summaries, "w_host string, summary string")
+    if not spilled.isEmpty():
+        more = stage(_whole_summaries(inferred, spilled), "wrappers")
+        wrappers = wrappers.join(more.select(F.col("w_host").alias("m_host")), F.col("w_host") == F.col("m_host"), "left_anti").unionByName(more)
+    wrappers = stage(wrappers, "wrappers")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

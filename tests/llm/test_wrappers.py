@@ -73,3 +73,32 @@ def test_wrappers_stay_bounded_and_rows_odd(spark):
     got = sorted(((r.page_id, r.n_chars) for r in wrappers.extract_pages(odd).collect()), key=str)
     assert got == sorted([(1, 0), (1, 0), (2, 249_999), (None, 7)], key=str)
     assert wrappers.extract_pages(odd.limit(0)).count() == 0
+
+
+def rare(n, seed=7):
+    """n pages of one host: two hold most of its text, in blocks of classes that no other page has; the others a line at their end."""
+    rng = random.Random(seed)
+    classes = [f"k{''.join(random.Random(j).choices('abcdefghij', k=9))}" for j in range(1000)]
+    word = lambda k: "".join(rng.choice("abcdefghij") for _ in range(k))
+    out = []
+    for i in range(n):
+        parts = [" ".join(word(6) for _ in range(12)) for _ in range(1000)] if i in (0, 40) else [word(7)]
+        body = "".join(f"<div class={c}>{p}</div>" for c, p in zip(classes, parts, strict=False))
+        out.append(f"<html><body><div class=wrap>{body}</div><div class=last>{' '.join(word(6) for _ in range(12))}</div></body></html>")
+    return out
+
+
+def test_pruned_options_keep_their_weight(spark):
+    """Options that a large wrapper gives up still tell where the host keeps its text."""
+    pages = rare(110)
+    state, spilled = {}, []
+    wrappers._fold_hosts((("h", 1, wrappers.page_wrapper(h)) for h in pages), state, spilled)
+    left = list(wrappers.slots(state["h"][1]))
+    assert spilled and wrappers.container(state["h"][1]).endswith("<div.last>")  # what is left alone would tell
+    assert sum(x[3] for x in left) + sum(x[4] for x in spilled) == sum(x[3] for h in pages for x in wrappers.slots(wrappers.page_wrapper(h)))
+    found = table(spark, pages).select("*", wrappers.host_of().alias("host"))
+    row = wrappers._whole_summaries(*wrappers.infer_wrappers(found)).first()
+    told = wrappers.json.loads(row.summary)
+    assert told["pages"] == 110 and told["container"].endswith("<div.wrap>")
+    got = {r.page_id: r.n_chars for r in wrappers.extract_pages(table(spark, pages)).collect()}
+    assert got[0] > 80_000 and got[40] > 80_000
