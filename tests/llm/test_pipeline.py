@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.llm import quality
+from sievework.llm.base import release
 
 from .test_line_dedup import similar, vocabulary
 
@@ -91,3 +92,11 @@ def test_stages_keep_columns_and_take_empty_tables(spark, tmp_path):
         out = step(spark, df, str(tmp_path))
         assert out.columns == df.columns and out.count() == 0
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_release_collects_the_drivers_garbage(spark):
+    """What ended queries leave in the driver's JVM goes between stages, not when the heap is full."""
+    held = spark._jvm.java.util.WeakHashMap()
+    held.put("a key that nothing else in the JVM refers to", 1)
+    release(spark)
+    assert held.size() == 0
