@@ -252,10 +252,10 @@ def drop_cascade(d):
 
 
 def _keywords(d):
-    hit = lambda a: d.rx("t", rf"\b{a}\b") if len(a) <= 6 else d.contains("t", f"'{a}'")
+    hit = lambda a: d.word("t", a) if len(a) <= 6 else d.contains("t", f"'{a}'")
     cases = d.array(f"CASE WHEN {' OR '.join(map(hit, v))} THEN '{k}' END" for k, v in vocab.KEYWORDS.items())
     salted = "CASE doc_id % 7 WHEN 0 THEN ' esp32 lcd panel' WHEN 1 THEN ' a pirate ship, portable' WHEN 2 THEN ' usb-c battery with wifi' ELSE '' END"
-    low = f"SELECT doc_id, lower(text) || {salted} AS t FROM {d.col('documents')}"
+    low = f"SELECT doc_id, {d.lower('text')} || {salted} AS t FROM {d.col('documents')}"
     return f"SELECT DISTINCT doc_id, keyword FROM (SELECT doc_id, {d.explode(cases, 'keyword')} FROM ({low}) l) k WHERE keyword IS NOT NULL"
 
 

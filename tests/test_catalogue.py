@@ -81,3 +81,13 @@ def test_types(spark):
     assert value(spark, map_type(D, "'misc'", "x"), "M3 Screw") == "fastener"
     assert value(spark, map_type(D, "'sensor'", "x"), "X") == "electronic"
     assert value(spark, map_type(D, "'machined'", "x"), "Plate") == "misc"
+
+
+@pytest.mark.parametrize("text", ["os loraíja", "éimu", "a pir", "pİr", "İlora", "x lora_ y lora", "wi-fi.", None])
+def test_keywords_end_at_letters_beyond_ascii(spark, text):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("create table documents as select 1::bigint as doc_id, ?::varchar as text", [text])
+    got = spark.sql(catalogue._keywords(D), documents=df).collect()
+    want = con.sql(catalogue.ORACLES["keyword_audit"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
