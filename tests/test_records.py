@@ -36,6 +36,34 @@ def test_components(records):
     assert got["bare"]["components"] == []
 
 
+@pytest.mark.parametrize("text", ["Desk--Clock _ v2", "__a__", "!!", "", "Ünit-2", "a_b", None])
+def test_bare_is_snake(spark, text):
+    from sievework.functions.dialect import Spark, snake
+
+    row = spark.createDataFrame([(text,)], "x string").selectExpr(f"{normalise.bare('x')} AS a", f"{snake(Spark(), 'x')} AS b").first()
+    assert row.a == row.b
+
+
+@pytest.mark.parametrize("array", ["components", "relationships", "instructions"])
+def test_rows_of_records_are_made_once(spark, array):
+    from sievework.plans import records as plans
+
+    plan = plans.QUERIES[f"rec_{array}"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate") :]
+    assert "Filter (size(" not in below  # else all of it is made again for the filter
+    assert plan.count("functional_role") == 0 or array == "components"
+
+
+def test_brought_looks_are_those_of_the_nodes(spark):
+    from sievework.plans import records as plans
+
+    raws = [plans.raw_configs(spark, "/root/testdata/sf0.001", looks) for looks in (True, False)]
+    with_looks, without = [normalise.normalise(r.where("slug < 'Order-2'")) for r in raws]
+    assert with_looks.count() > 100
+    text = lambda df: sorted(r.v for r in df.selectExpr("to_json(struct(*)) AS v").collect())
+    assert text(with_looks) == text(without)
+
+
 def test_edges_steps_and_issues(records):
     got = by_id(records)
     clock = got["desk_clock_v2"]
