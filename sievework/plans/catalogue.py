@@ -269,9 +269,25 @@ def audit_summary(d):
     return f"SELECT keyword, count(*) AS n FROM ({_keywords(d)}) t GROUP BY keyword"
 
 
+def _jaccard_of_sets(words):
+    """Pairs of equal sets count by number, not one by one: similar sets are found among different ones. A part's similar
+    ones of larger id are then those before it in its bucket of 65,536 ids, and all of later buckets."""
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""WITH s AS ({words}), m AS (SELECT id, shiftright(id, 16) AS bucket, array_join(array_sort(w), ' ') AS k, size(w) AS n FROM s WHERE id IS NOT NULL AND size(w) > 0),
+        e AS (SELECT k, n, explode(split(k, ' ')) AS token FROM (SELECT DISTINCT k, n FROM m) x),
+        p AS (SELECT a.k, b.k AS o, CAST(count(*) AS DOUBLE) / (a.n + b.n - count(*)) AS j FROM e a JOIN e b ON a.token = b.token AND 100 * least(a.n, b.n) >= 55 * greatest(a.n, b.n) GROUP BY a.k, b.k, a.n, b.n HAVING count(*) * 100 >= 55 * (a.n + b.n - count(*))),
+        near AS (SELECT p.k, m.bucket, m.id, p.j, p.k = m.k AS own FROM m JOIN p ON m.k = p.o),
+        sums AS (SELECT k, bucket, count(*) AS c, max(j) AS j FROM near GROUP BY k, bucket),
+        later AS (SELECT k, bucket, coalesce(sum(c) OVER w, 0) AS c, max(j) OVER w AS j FROM sums WINDOW w AS (PARTITION BY k ORDER BY bucket DESC {before})),
+        here AS (SELECT k, bucket, id, own, count(*) OVER w AS c, max(j) OVER w AS j FROM near WINDOW w AS (PARTITION BY k, bucket ORDER BY id DESC {before}))
+        SELECT h.id AS a, h.c + l.c AS n_similar, greatest(h.j, l.j) AS best FROM here h JOIN later l ON h.k = l.k AND h.bucket = l.bucket WHERE h.own AND h.c + l.c > 0"""
+
+
 @query
 def jaccard_pairs(d):
     words = f"SELECT p_partkey AS id, {d.distinct(d.keep(d.words('lower(p_name)'), f'length(q) > 2 AND q NOT IN ({quoted(vocab.STOPWORDS)})'))} AS w FROM {d.col('part')}"
+    if d is _S:
+        return _jaccard_of_sets(words)
     return f"WITH s AS ({words}), e AS (SELECT id, {d.size('w')} AS n, {d.explode('w', 'token')} FROM s), p AS (SELECT a.id AS a, b.id AS b, a.n AS n, b.n AS m, count(*) AS c FROM e a JOIN e b ON a.token = b.token AND a.id < b.id AND 100 * least(a.n, b.n) >= 55 * greatest(a.n, b.n) GROUP BY 1, 2, 3, 4) SELECT a, count(*) AS n_similar, max(CAST(c AS DOUBLE) / (n + m - c)) AS best FROM p WHERE c * 100 >= 55 * (n + m - c) GROUP BY a"
 
 

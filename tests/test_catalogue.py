@@ -1,6 +1,7 @@
 """Every catalogue query against its SQL on the smallest tables, and scalar expectations of the text functions."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -91,3 +92,15 @@ def test_keywords_end_at_letters_beyond_ascii(spark, text):
     got = spark.sql(catalogue._keywords(D), documents=df).collect()
     want = con.sql(catalogue.ORACLES["keyword_audit"]).fetchall()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_jaccard_over_buckets_and_many_copies(spark):
+    base = ["steel arm long blue", "steel arm long red", "steel arm", "arm steel", "the of", "", None, "steel arm long", "ring"]
+    rows = [(i * 37 - 70000, base[i % len(base)]) for i in range(6000)] + [(None, "steel arm")]
+    df = spark.createDataFrame(rows, "p_partkey long, p_name string")
+    con = duckdb.connect()
+    con.register("part", df.toArrow())
+    want = con.sql(f"select a, n_similar, best from ({catalogue.ORACLES['jaccard_pairs']})").fetchall()
+    out = spark.sql(catalogue.jaccard_pairs(catalogue._S), part=df)
+    assert sorted((r.a, r.n_similar, r.best) for r in out.collect()) == sorted(want) and len(want) > 3000
+    assert not re.search(r"id#\d+L < id#", out._jdf.queryExecution().optimizedPlan().toString())  # parts never meet one by one
