@@ -47,12 +47,15 @@ def _swapped(materials: dict[str, str]) -> Column:
     return F.transform("components", each)
 
 
-def _repriced(df: DataFrame, factor: str) -> DataFrame:
-    items = (
+def _items(factor: str) -> str:
+    return (
         f"transform(sourcing.items, x -> named_struct('component_id', x.component_id, 'product_name', x.product_name, 'unit_cost_usd', CAST(CAST(x.unit_cost_usd * {factor} AS DECIMAL(18, 2)) AS DECIMAL(18, 4)), "
         f"'quantity', x.quantity, 'total_cost_usd', CAST(CAST(x.unit_cost_usd * {factor} AS DECIMAL(18, 2)) * x.quantity AS DECIMAL(18, 2)), 'vendor', x.vendor, 'url', x.url))"
     )
-    df = df.withColumn("__items", F.expr(items))
+
+
+def _with_items(df: DataFrame, items: Column) -> DataFrame:
+    df = df.withColumn("__items", items)
     return df.withColumn("sourcing", F.expr(f"named_struct('items', __items, 'cost_summary', {cost_summary('__items', 'size(components)')}, 'vendors', sourcing.vendors)")).drop("__items")
 
 
@@ -70,43 +73,57 @@ def drop_components(df: DataFrame, dropped: str) -> DataFrame:
     df = df.withColumn("__lost", F.expr(lost)).withColumn("__names", F.expr(names)).withColumn("instructions", F.expr(f"array_compact({kept})")).drop("__lost", "__names")
     df = df.withColumn("fabrication", F.col("fabrication").withField("component_settings", F.expr(f"filter(fabrication.component_settings, x -> NOT {gone('x.component_id')})")))
     df = df.withColumn("sourcing", F.col("sourcing").withField("items", F.expr(f"filter(sourcing.items, x -> NOT {gone('x.component_id')})")))
-    return _repriced(df, "1")
+    return _with_items(df, F.expr(_items("1")))
 
 
-def _named(df: DataFrame, label: str, title: str, summary: Column) -> DataFrame:
+def _named(df: DataFrame, label: Column, title: Column, summary: Column) -> DataFrame:
     p = F.col("project")
-    p = p.withField("name", F.concat(p["name"], F.lit(f" ({title})"))).withField("summary", F.concat(summary, F.coalesce(p["summary"], F.lit(""))))
+    p = p.withField("name", F.concat(p["name"], F.lit(" ("), title, F.lit(")"))).withField("summary", F.concat(summary, F.coalesce(p["summary"], F.lit(""))))
     p = p.withField("variant_type", F.lit("positive_variant")).withField("seed_project_id", F.col("project.project_id"))
-    p = p.withField("project_id", F.concat(F.col("project.project_id"), F.lit(f"__pos_{label}"))).withField("visual_ref", F.lit(None).cast("string"))
+    p = p.withField("project_id", F.concat(F.col("project.project_id"), F.lit("__pos_"), label)).withField("visual_ref", F.lit(None).cast("string"))
     clean = f"named_struct('schema_valid', TRUE, 'reference_integrity_valid', TRUE, 'manufacturability_valid', TRUE, 'naming_consistency_valid', TRUE, 'issues', {NO_ISSUES}, 'confidence_score', 1.0D)"
     return df.withColumn("project", p).withColumn("validation", F.expr(clean))
 
 
+def _by(column: str, values: dict[str, Column], other: Column | None = None) -> Column:
+    """The value that goes with what a column says, else the other."""
+    out = F.lit(None) if other is None else other
+    for k, v in values.items():
+        out = F.when(F.col(column) == k, v).otherwise(out)
+    return out
+
+
+def _along(records: DataFrame, axes: list[tuple]) -> DataFrame:
+    """Variants along axes that keep all parts, in one pass: each record stands once for every axis."""
+    df = records.withColumn("__axis", F.explode(F.array(*[F.lit(a[0]) for a in axes])))
+    swaps = {"low_cost": CHEAPER, "premium_material": DEARER}
+    changed = {label: _scaled(size) for label, _, _, size, _ in axes if size is not None} | {label: _swapped(swaps[label]) for label, *_ in axes if label in swaps}
+    df = df.withColumn("components", _by("__axis", changed, F.col("components")))
+    finish = F.when(F.col("__axis") == "premium_material", F.array(*map(F.lit, FINISH))).otherwise(F.col("fabrication.post_processing"))
+    df = df.withColumn("fabrication", F.col("fabrication").withField("post_processing", finish))
+    df = _with_items(df, _by("__axis", {label: F.expr(_items(cost)) for label, *_, cost in axes}))
+    return _named(df, F.col("__axis"), _by("__axis", {a[0]: F.lit(a[1]) for a in axes}), _by("__axis", {a[0]: F.lit(a[2]) for a in axes})).drop("__axis")
+
+
+def _lighter(records: DataFrame, label: str, title: str, text: str) -> DataFrame:
+    screws = "slice(filter(components, c -> c.type = 'fastener'), {k} + 1, size(components) + 1)".format(k=FASTENERS_KEPT)
+    df = records.withColumn("__drop", F.expr(f"array_distinct(transform(concat({screws}, filter(components, c -> c.type = 'misc')), c -> c.component_id))"))
+    # exploded, as Spark would move a plain filter down and make all components a second time for it
+    df = df.withColumn("__some", F.explode_outer(F.expr("IF(size(__drop) > 0, array(TRUE), NULL)"))).where("__some").drop("__some")
+    before, after = text.split("{n}")
+    summary = F.concat(F.lit(before), F.size("__drop").cast("string"), F.lit(after))
+    return _named(drop_components(df, "__drop"), F.lit(label), F.lit(title), summary).drop("__drop")
+
+
 def positive_variants(records: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """A record for each axis that applies to a seed, named <seed>__pos_<axis>; unknown axes are ignored. Accessory-light
     keeps four fasteners and drops the others and all misc parts; a seed without such parts has no such variant."""
-    out = None
-    for label, title, text, size, cost in AXES:
-        if labels is not None and label not in labels:
-            continue
-        df, summary = records, F.lit(text)
-        if size is not None:
-            df = df.withColumn("components", _scaled(size))
-        if label in ("low_cost", "premium_material"):
-            df = df.withColumn("components", _swapped(CHEAPER if label == "low_cost" else DEARER))
-        if label == "premium_material":
-            df = df.withColumn("fabrication", F.col("fabrication").withField("post_processing", F.array(*map(F.lit, FINISH))))
-        if cost is not None:
-            df = _repriced(df, cost)
-        else:
-            screws = "slice(filter(components, c -> c.type = 'fastener'), {k} + 1, size(components) + 1)".format(k=FASTENERS_KEPT)
-            df = df.withColumn("__drop", F.expr(f"array_distinct(transform(concat({screws}, filter(components, c -> c.type = 'misc')), c -> c.component_id))")).where("size(__drop) > 0")
-            before, after = text.split("{n}")
-            summary = F.concat(F.lit(before), F.size("__drop").cast("string"), F.lit(after))
-            df = drop_components(df, "__drop")
-        df = _named(df, label, title, summary).drop("__drop")
-        out = df if out is None else out.unionByName(df)
-    return records.limit(0) if out is None else out
+    chosen = [a for a in AXES if labels is None or a[0] in labels]
+    whole, light = [a for a in chosen if a[4] is not None], [a for a in chosen if a[4] is None]
+    made = ([_along(records, whole)] if whole else []) + [_lighter(records, *a[:3]) for a in light]
+    if not made:
+        return records.limit(0)
+    return made[0] if len(made) == 1 else made[0].unionByName(made[1])
 
 
 def _defects() -> dict[str, tuple[str, str, str, bool, str]]:
@@ -124,19 +141,19 @@ def _defects() -> dict[str, tuple[str, str, str, bool, str]]:
 
 
 def negative_variants(records: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """A record for each defect that fits a seed, named <seed>__neg_<code>, its validation naming the defect."""
-    out = None
-    for code, (array, value, holds, found) in _defects().items():
-        if codes is not None and code not in codes:
-            continue
-        verdict = f"named_struct('schema_valid', TRUE, 'reference_integrity_valid', {holds}, 'manufacturability_valid', TRUE, 'naming_consistency_valid', TRUE, 'issues', array({found}), 'confidence_score', 0.2D)"
-        df = records.where(F.size(array) > 0).withColumn("validation", F.expr(verdict))
-        if value:
-            df = df.withColumn(array, F.expr(value))
-        else:
-            df = df.withColumn(array, F.transform(array, lambda c, i: c.withField("type", F.when(i == 0, F.lit("gadget")).otherwise(c["type"]))))
-        p = F.col("project").withField("variant_type", F.lit("evaluation_negative")).withField("seed_project_id", F.col("project.project_id"))
-        p = p.withField("project_id", F.concat(F.col("project.project_id"), F.lit(f"__neg_{code}"))).withField("visual_ref", F.lit(None).cast("string"))
-        df = df.withColumn("project", p)
-        out = df if out is None else out.unionByName(df)
-    return records.limit(0) if out is None else out
+    """A record for each defect that fits a seed, named <seed>__neg_<code>, its validation naming the defect. One pass:
+    each record stands once for every defect."""
+    chosen = {k: v for k, v in _defects().items() if codes is None or k in codes}
+    if not chosen:
+        return records.limit(0)
+    fits = ", ".join(f"IF(size({array}) > 0, '{k}', NULL)" for k, (array, *_) in chosen.items())
+    df = records.withColumn("__code", F.explode_outer(F.expr(f"array_compact(array({fits}))"))).where("__code IS NOT NULL")
+    verdict = "named_struct('schema_valid', TRUE, 'reference_integrity_valid', {}, 'manufacturability_valid', TRUE, 'naming_consistency_valid', TRUE, 'issues', array({}), 'confidence_score', 0.2D)"
+    df = df.withColumn("validation", _by("__code", {k: F.expr(verdict.format(holds, found)) for k, (_, _, holds, found) in chosen.items()}))
+    gadget = F.transform("components", lambda c, i: c.withField("type", F.when(i == 0, F.lit("gadget")).otherwise(c["type"])))
+    for column in ("components", "relationships", "instructions"):
+        changed = {k: F.expr(value) if value else gadget for k, (array, value, *_) in chosen.items() if array == column}
+        df = df.withColumn(column, _by("__code", changed, F.col(column)))
+    p = F.col("project").withField("variant_type", F.lit("evaluation_negative")).withField("seed_project_id", F.col("project.project_id"))
+    p = p.withField("project_id", F.concat(F.col("project.project_id"), F.lit("__neg_"), F.col("__code"))).withField("visual_ref", F.lit(None).cast("string"))
+    return df.withColumn("project", p).drop("__code")

@@ -137,6 +137,24 @@ def test_variants(records):
         assert r.validation.issues[0].message in {i.message for i in r.found}
 
 
+def test_variants_in_one_pass(spark):
+    from sievework.plans import records as plans
+
+    for name, passes in (("rec_variants", 2), ("rec_negatives", 1)):
+        plan = plans.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "InMemoryRelation" not in plan and plan.count("RepartitionByExpression [l_orderkey") == passes
+
+
+def test_variants_by_label(records):
+    seed = records.where("project.project_id = 'desk_clock_v2'")
+    every = {r.project.project_id: r for r in variants.positive_variants(seed).collect()}
+    for label, *_ in variants.AXES:
+        (one,) = variants.positive_variants(seed, [label, "none such"]).collect()
+        assert one == every[f"desk_clock_v2__pos_{label}"]
+    assert variants.positive_variants(seed, []).count() == 0 and variants.negative_variants(seed, []).count() == 0
+    assert [r.project.project_id for r in variants.negative_variants(seed, ["invalid_relation"]).collect()] == ["desk_clock_v2__neg_invalid_relation"]
+
+
 def test_audit(records):
     from sievework.operators import audit
 
